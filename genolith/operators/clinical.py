@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from genolith.functions.special import normal_quantile
 from genolith.operators.ranking import cumulative_counts
-from genolith.operators.trends import ever_changed, resettable_total
+from genolith.operators.trends import ever_changed, series_summary
 
 KEY = "Subject_ID"
 ORDER = ["Event_Date", "Visit_Order"]
@@ -95,20 +95,36 @@ def clinical_rollup(visits: DataFrame, order: list[str] = ORDER) -> DataFrame:
 
 
 def trend_flags(visits: DataFrame, order: list[str] = ORDER, missing_severity: float | None = None) -> DataFrame:
-    """Rises and falls of SOFA, WHO and severity within the encounter, of SOFA in ICU, and ICU hours."""
-    inside = visits.where("COVID19_Within_Encounter")
-    coded = inside.withColumn("_severity", severity_code() - 1)
-    icu = visits.where("ICU_Status")
-    trends = [
-        ever_changed(inside, [KEY], order, "SOFA_Score", "sofa"),
-        ever_changed(inside, [KEY], order, "WHO_Ordinal", "who"),
-        ever_changed(coded, [KEY], order, "_severity", "severity", missing=missing_severity),
-        ever_changed(icu, [KEY], order, "SOFA_Score", "icu_sofa").select(
-            KEY, F.col("icu_sofa_ever_decreased").alias("sofa_ever_decreased_icu_only"),
-            F.col("icu_sofa_ever_increased").alias("sofa_ever_increased_icu_only")),
-        resettable_total(inside, [KEY], order, "ICU_Hours_Since_Entry", "icu_hours_cumulative"),
+    """Rises and falls of SOFA, WHO and severity within the encounter, of SOFA in ICU, and ICU hours.
+
+    The five series are stacked under a measure name and summarised together.
+    """
+    c = F.col
+    severity = severity_code() - 1
+    if missing_severity is not None:
+        severity = F.coalesce(severity, F.lit(float(missing_severity)))
+    series = {
+        "sofa": _within(c("SOFA_Score")),
+        "who": _within(c("WHO_Ordinal")),
+        "severity": _within(severity),
+        "icu": F.when(c("ICU_Status"), c("SOFA_Score")),
+        "hours": _within(c("ICU_Hours_Since_Entry")),
+    }
+    long = visits.select(KEY, *order, *[x.cast("double").alias(m) for m, x in series.items()]).unpivot(
+        [KEY, *order], list(series), "measure", "x")
+    summary = series_summary(long, [KEY, "measure"], order, "x")
+
+    def of(measure: str, value: Column) -> Column:
+        return F.max(F.when(c("measure") == measure, value))
+
+    enough = c("n_values") >= 3
+    flags = [
+        of(m, F.when(enough, c(source))).alias(name + suffix)
+        for m, name, suffix in (("sofa", "sofa_ever_{}", ""), ("who", "who_ever_{}", ""), ("severity", "severity_ever_{}", ""),
+                                ("icu", "sofa_ever_{}", "_icu_only"))
+        for source, name in (("fell", name.format("decreased")), ("rose", name.format("increased")))
     ]
-    return reduce(lambda a, b: a.join(b, KEY, "full_outer"), trends)
+    return summary.groupBy(KEY).agg(*flags, of("hours", c("counter_total")).alias("icu_hours_cumulative"))
 
 
 def any_prefix(visits: DataFrame, prefixes: list[str], out: str, without: str | None = None, key: str = KEY) -> DataFrame:
