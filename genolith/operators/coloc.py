@@ -159,11 +159,14 @@ def merged_loci(eqtl: DataFrame, biom: DataFrame, options: ColocOptions, bed: Da
         eqtl = filter_sumstats(eqtl)
     else:
         biom = filter_sumstats(biom)
+    need = ["SNPID", "CHR", "POS", "PVAL", "N", "A1", "A2"] + (["BETA", "SE"] if options.use_beta else [])
+    maf = lambda df: [c for c in ("MAF",) if c in df.columns]
+    upper = {"A1": F.upper("A1"), "A2": F.upper("A2")}
+    # Both sets are read several times below: written once, narrowed and complete.
+    eqtl = durable(complete_cases(eqtl.select("ProbeID", *need, *maf(eqtl))).withColumns(upper))
+    biom = durable(complete_cases(biom.select(*need, *maf(biom), *(["Ncases"] if options.cc else []))).withColumns(upper))
     if not options.match_snpid:
         biom, eqtl, _ = best_key(biom, eqtl)
-    need = ["SNPID", "CHR", "POS", "PVAL", "N", "A1", "A2"] + (["BETA", "SE"] if options.use_beta else [])
-    eqtl = complete_cases(eqtl.select("ProbeID", *need, *[c for c in ("MAF",) if c in eqtl.columns]))
-    biom = complete_cases(biom.select(*need, *[c for c in ("MAF",) if c in biom.columns], *(["Ncases"] if options.cc else [])))
 
     extents = probe_extent(eqtl)
     wanted = eqtl.select("ProbeID", "SNPID").distinct().join(extents, "ProbeID")

@@ -51,12 +51,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write the rows to the shared folder and read them back.
+
+    The written table survives lost executors, is read column by column, and
+    its size is known to the planner.
+    """
+    path = scratch_table(df.sparkSession, "durable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_table(spark: SparkSession, label: str) -> str:
