@@ -61,6 +61,49 @@ def sum_blocks(df: DataFrame, keys: list[str], value: str, carry: list[str] | No
     return ordered.mapInPandas(running, schema)
 
 
+def accumulate(df: DataFrame, keys: list[str], function, salt: Column | None = None) -> DataFrame:
+    """Sum ``function(row)`` per key: (keys, block).
+
+    Rows are brought together by key and streamed, so a task holds one running
+    sum. ``salt`` spreads a key over several tasks; their sums are then added.
+    """
+    by = [*keys, "salt"]
+    spread = df.withColumn("salt", F.lit(0) if salt is None else salt)
+    columns = [*keys, "block"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields) + ", block binary"
+
+    def running(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, total = None, None
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                key = tuple(getattr(row, k) for k in by)
+                if key == last:
+                    total += function(row)
+                    continue
+                if last is not None:
+                    out.append((*last[:-1], to_bytes(total)))
+                last, total = key, np.array(function(row), dtype=np.float64)
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+        if last is not None:
+            yield pd.DataFrame([(*last[:-1], to_bytes(total))], columns=columns)
+
+    summed = spread.repartition(*by).sortWithinPartitions(*by).mapInPandas(running, schema)
+    return summed if salt is None else sum_blocks(summed, keys, "block")
+
+
+def map_rows(df: DataFrame, function, schema: str) -> DataFrame:
+    """One output row (a tuple) per input row of blocks."""
+    names = [f.strip().split()[0] for f in schema.split(",")]
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([function(row) for row in pdf.itertuples(index=False)], columns=names)
+
+    return df.mapInPandas(apply, schema)
+
+
 def sample_tiles(samples: DataFrame, tile: int = TILE) -> tuple[DataFrame, int]:
     """(sample_key, t, ls): tile number and place in it, and the sample count."""
     index = dense_index(samples.select("sample_key").distinct(), "sample_key", "idx")

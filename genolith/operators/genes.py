@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from genolith.functions.special import chi2_1_sf, chi2_4_sf
 from genolith.operators.association import ScoreModel, score_sums, score_test
-from genolith.operators.blocks import TILE, from_bytes, sample_tiles, sum_blocks, to_bytes
+from genolith.operators.blocks import TILE, from_bytes, map_rows, sample_tiles, sum_blocks, to_bytes
 from genolith.operators.intervals import range_join
 from genolith.operators.ranking import adjust_p
 from genolith.session import broadcast_if_small, durable
@@ -165,17 +165,6 @@ def residual_tiles(entries: DataFrame, members: DataFrame, stats: DataFrame, mod
     return joined.mapInPandas(residualise, "gene_id string, chunk int, t int, n int, h binary")
 
 
-def _per_row(df: DataFrame, function, schema: str) -> DataFrame:
-    """One output row per input row of blocks."""
-    names = [f.strip().split()[0] for f in schema.split(",")]
-
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame([function(row) for row in pdf.itertuples(index=False)], columns=names)
-
-    return df.mapInPandas(apply, schema)
-
-
 def smmat(entries: DataFrame, variants: DataFrame, genes: DataFrame, model: ScoreModel, tile: int = TILE, chunk: int = CHUNK) -> DataFrame:
     """Burden and adjusted variance-component p-values, combined by Fisher's method.
 
@@ -193,14 +182,14 @@ def smmat(entries: DataFrame, variants: DataFrame, genes: DataFrame, model: Scor
 
     # b = H'1 by gene and tile; x = H b by gene and chunk; c = H'x by gene and tile.
     b = durable(sum_blocks(
-        _per_row(h, lambda r: (r.gene_id, r.t, to_bytes(mat(r).sum(axis=0))), "gene_id string, t int, b binary"), ["gene_id", "t"], "b"))
+        map_rows(h, lambda r: (r.gene_id, r.t, to_bytes(mat(r).sum(axis=0))), "gene_id string, t int, b binary"), ["gene_id", "t"], "b"))
     x = durable(sum_blocks(
-        _per_row(h.join(b, ["gene_id", "t"]), lambda r: (r.gene_id, r.chunk, to_bytes(mat(r) @ from_bytes(r.b))),
+        map_rows(h.join(b, ["gene_id", "t"]), lambda r: (r.gene_id, r.chunk, to_bytes(mat(r) @ from_bytes(r.b))),
                  "gene_id string, chunk int, x binary"), ["gene_id", "chunk"], "x"))
     c_vec = sum_blocks(
-        _per_row(h.join(x, ["gene_id", "chunk"]), lambda r: (r.gene_id, r.t, to_bytes(mat(r).T @ from_bytes(r.x))),
+        map_rows(h.join(x, ["gene_id", "chunk"]), lambda r: (r.gene_id, r.t, to_bytes(mat(r).T @ from_bytes(r.x))),
                  "gene_id string, t int, c binary"), ["gene_id", "t"], "c")
-    norm = lambda df, col, out: _per_row(
+    norm = lambda df, col, out: map_rows(
         df, lambda r: (r.gene_id, float(from_bytes(getattr(r, col)) @ from_bytes(getattr(r, col)))), f"gene_id string, {out} double"
     ).groupBy("gene_id").agg(F.sum(out).alias(out))
 
@@ -208,9 +197,9 @@ def smmat(entries: DataFrame, variants: DataFrame, genes: DataFrame, model: Scor
     other = h.select("gene_id", "t", F.col("chunk").alias("chunk2"), F.col("n").alias("n2"), F.col("h").alias("h2"))
     pairs = h.join(other, ["gene_id", "t"]).where(F.col("chunk") <= F.col("chunk2"))
     products = sum_blocks(
-        _per_row(pairs, lambda r: (r.gene_id, r.chunk, r.chunk2, to_bytes(mat(r) @ from_bytes(r.h2).reshape(r.n2, -1).T)),
+        map_rows(pairs, lambda r: (r.gene_id, r.chunk, r.chunk2, to_bytes(mat(r) @ from_bytes(r.h2).reshape(r.n2, -1).T)),
                  "gene_id string, chunk int, chunk2 int, v binary"), ["gene_id", "chunk", "chunk2"], "v")
-    squares = _per_row(products, lambda r: (r.gene_id, (1.0 if r.chunk == r.chunk2 else 2.0) * float(np.square(from_bytes(r.v)).sum())),
+    squares = map_rows(products, lambda r: (r.gene_id, (1.0 if r.chunk == r.chunk2 else 2.0) * float(np.square(from_bytes(r.v)).sum())),
                        "gene_id string, trace_v2 double").groupBy("gene_id").agg(F.sum("trace_v2").alias("trace_v2"))
 
     per_variant = members.join(stats, "variant_key")
@@ -241,7 +230,7 @@ def _score_products(per_variant: DataFrame, x: DataFrame, chunk: int) -> DataFra
     placed = per_variant.join(sizes, "gene_id").select(
         "gene_id", F.pmod(F.xxhash64("variant_key"), F.col("n_chunks")).cast("int").alias("chunk"), "variant_key", "score")
     lists = placed.groupBy("gene_id", "chunk").agg(F.array_sort(F.collect_list(F.struct("variant_key", "score"))).alias("v"))
-    return _per_row(
+    return map_rows(
         lists.select("gene_id", "chunk", F.col("v.score").alias("u")).join(x, ["gene_id", "chunk"]),
         lambda r: (r.gene_id, float(np.asarray(r.u) @ from_bytes(r.x))), "gene_id string, _ux double",
     ).groupBy("gene_id").agg(F.sum("_ux").alias("_ux"))
