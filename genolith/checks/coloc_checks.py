@@ -233,6 +233,11 @@ def _(spark, d):
     return ss.format_cohort_eqtl(fx.sql(spark, d, PASS), fx.sql(spark, d, BIM))
 
 
+@query("agg23_sample_count", """SELECT c_custkey, (SELECT count(*) FROM supplier) AS "N" FROM customer""")
+def _(spark, d):
+    return ss.with_sample_count(fx.table(spark, d, "customer").select("c_custkey"), fx.table(spark, d, "supplier")).withColumn("N", F.col("N").cast("bigint"))
+
+
 ASSOC = """SELECT concat(contig, ':', cast(pos AS STRING)) AS variant_id, contig, pos, effect_allele, other_allele, freq, ((variant_key * 37) % 997 + 1) / 1000e0 AS score_pval, est, se AS est_se, n_obs, variant_key FROM fx_assoc"""
 PANEL = """SELECT concat('panel_', cast(variant_key AS STRING)) AS panel_variant_id, contig AS chromosome, pos AS position, CASE WHEN variant_key % 3 = 0 THEN alt ELSE ref END AS panel_non_effect,
   CASE WHEN variant_key % 3 = 0 THEN ref WHEN variant_key % 5 = 0 THEN 'N' ELSE alt END AS panel_effect FROM fx_variants WHERE variant_key % 7 <> 0"""

@@ -204,9 +204,9 @@ def _(spark, d):
 
 @query("prj4_split_g_min", f"""SELECT l_orderkey, l_linenumber, a_index, min(CASE WHEN copies = 0 THEN x END) AS pl0,
   min(CASE WHEN copies = 1 THEN x END) AS pl1, min(CASE WHEN copies = 2 THEN x END) AS pl2 FROM (
-  SELECT a.l_orderkey, a.l_linenumber, a.l_partkey, a.l_suppkey, a_index, (l_partkey * (idx + 1) * 7 + l_suppkey * 13) % 61 AS x,
+  SELECT a.l_orderkey, a.l_linenumber, a.rid, a_index, (l_partkey * (idx + 1) * 7 + l_suppkey * 13) % 61 AS x,
     (CASE WHEN j = a_index THEN 1 ELSE 0 END) + (CASE WHEN k = a_index THEN 1 ELSE 0 END) AS copies
-  FROM {ALTS} a JOIN {GENOTYPE_ORDER} ON idx < (n_alts + 1) * (n_alts + 2) / 2) q GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey, a_index""")
+  FROM (SELECT x.*, row_number() OVER () AS rid FROM {ALTS} x) a JOIN {GENOTYPE_ORDER} ON idx < (n_alts + 1) * (n_alts + 2) / 2) q GROUP BY l_orderkey, l_linenumber, rid, a_index""")
 def _(spark, d):
     return gt.split_multi(_calls(spark, d)).select("l_orderkey", "l_linenumber", F.col("a_index").cast("bigint").alias("a_index"),
                                                    *[F.col("PL")[i].alias(f"pl{i}") for i in range(3)])

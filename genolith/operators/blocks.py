@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genolith.operators.ranking import dense_index
+from genolith.session import broadcast_if_small, durable
 
 TILE = 1024
 BLOCK = 1024
@@ -107,8 +108,8 @@ def map_rows(df: DataFrame, function, schema: str) -> DataFrame:
 def sample_tiles(samples: DataFrame, tile: int = TILE) -> tuple[DataFrame, int]:
     """(sample_key, t, ls): tile number and place in it, and the sample count."""
     index = dense_index(samples.select("sample_key").distinct(), "sample_key", "idx")
-    n = index.count()
-    return index.select("sample_key", (F.col("idx") / tile).cast("int").alias("t"), (F.col("idx") % tile).cast("int").alias("ls")), n
+    tiles = durable(index.select("sample_key", (F.col("idx") / tile).cast("int").alias("t"), (F.col("idx") % tile).cast("int").alias("ls")))
+    return tiles, tiles.count()
 
 
 def hashed_block(n_variants: int, block: int = BLOCK) -> Column:
@@ -130,8 +131,6 @@ def genotype_tiles(entries: DataFrame, tiles: DataFrame, tile: int = TILE) -> Da
         mat[row, pdf["ls"].to_numpy()] = pdf["gt"].to_numpy()
         return pd.DataFrame({"vb": [pdf["vb"].iloc[0]], "t": [pdf["t"].iloc[0]], "keys": [keys], "mat": [mat.tobytes()]})
 
-    from genolith.session import broadcast_if_small
-
     placed = entries.join(broadcast_if_small(tiles), "sample_key").select(
         "vb", "t", "variant_key", "ls", F.coalesce("gt", F.lit(MISSING)).cast("int").alias("gt"))
     return placed.groupBy("vb", "t").applyInPandas(pack, "vb int, t int, keys array<bigint>, mat binary")

@@ -56,14 +56,16 @@ def burden_scores(entries: DataFrame, members: DataFrame, model: ScoreModel) ->
     The burden's score is the sum of its variants' scores; its variance comes
     from one weighted sum per gene over the per-sample burdens.
     """
-    scores = score_test(entries, model).select("variant_key", "score", "freq")
-    mean = members.join(scores, "variant_key")
+    # Only variants inside a gene are read further.
+    members = durable(members)
+    entries = entries.join(broadcast_if_small(members.select("variant_key").distinct()), "variant_key", "left_semi")
+    mean = durable(members.join(score_test(entries, model).select("variant_key", "score", "freq"), "variant_key"))
     missing = (
-        entries.where(F.col("gt").isNotNull()).join(mean.select("variant_key", "gene_id", "freq"), "variant_key")
+        entries.where(F.col("gt").isNotNull()).join(broadcast_if_small(mean.select("variant_key", "gene_id", "freq")), "variant_key")
         .groupBy("gene_id", "sample_key").agg(F.sum(F.col("gt") - 2 * F.col("freq")).alias("b"))
     )
     w, b = F.col("weight"), F.col("b")
-    sums = missing.join(model.table, "sample_key").groupBy("gene_id").agg(
+    sums = missing.join(broadcast_if_small(model.table), "sample_key").groupBy("gene_id").agg(
         F.sum(w * b * b).alias("_wbb"), F.sum(w * b).alias("_wb"), *[F.sum(w * b * F.col(z)).alias(f"_{z}") for z in model.z])
     # Subtracting the mean shifts every sample alike; the intercept takes it out again.
     variance = F.col("_wbb")

@@ -100,6 +100,11 @@ def format_gtex_eqtl(eqtl: DataFrame, n: int = 948) -> DataFrame:
         F.lit(n).alias("N"))
 
 
+def with_sample_count(eqtl: DataFrame, sample_list: DataFrame) -> DataFrame:
+    """The number of individuals on the list as N."""
+    return eqtl.withColumn("N", F.lit(sample_list.count()))
+
+
 def single_allele_sites(bim: DataFrame) -> DataFrame:
     """Sites whose position holds one variant only."""
     once = bim.groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1")

@@ -40,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
-    )
+    ) or spark.sparkContext.getCheckpointDir()
     if path:
         return path
     if not spark.sparkContext.master.startswith("local"):
