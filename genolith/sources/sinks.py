@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from genolith.operators.genotypes import GenotypeSet, variant_id
 from genolith.operators.ranking import dense_index
+from genolith.session import broadcast_if_small
 
 
 def write_endpoint(df: DataFrame, path: str, partition: str | None = "contig") -> str:
@@ -66,9 +66,15 @@ def vcf_lines(g: GenotypeSet) -> tuple[DataFrame, str]:
     gt = F.when(F.col("gt") == 0, "0/0").when(F.col("gt") == 1, "0/1").when(F.col("gt") == 2, "1/1").otherwise("./.")
     field = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
     text = F.concat_ws(":", gt, field("dp"), field("gq"))
-    calls = g.entries.join(index, "sample_key").groupBy("variant_key").agg(
-        F.map_from_entries(F.collect_list(F.struct("idx", text.alias("text")))).alias("calls"))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(len(names) - 1)), lambda i: F.coalesce(F.try_element_at("calls", i.cast("bigint")), F.lit("./.:.:.")))
+    calls = g.entries.join(broadcast_if_small(index), "sample_key").groupBy("variant_key").agg(
+        F.array_sort(F.collect_list(F.struct("idx", text.alias("text")))).alias("calls"))
+    # A variant with an entry for every sample is written as it stands; only
+    # one with gaps has its places looked up.
+    complete = F.transform("calls", lambda x: x["text"])
+    lookup = F.map_from_entries("calls")
+    gaps = F.transform(F.sequence(F.lit(0), F.lit(len(names) - 1)), lambda i: F.coalesce(F.try_element_at(lookup, i.cast("bigint")), F.lit("./.:.:.")))
+    filled = F.when(F.size("calls") == len(names), complete).when(F.col("calls").isNotNull(), gaps).otherwise(
+        F.array_repeat(F.lit("./.:.:."), len(names)))
     rows = g.variants.join(calls, "variant_key", "left")
     line = F.concat_ws("\t", "contig", F.col("pos").cast("string"), variant_id(), "ref", "alt", F.lit("."), F.lit("."), F.lit("."), F.lit("GT:DP:GQ"), F.array_join(filled, "\t"))
     header = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names])
