@@ -174,13 +174,17 @@ def _(spark, d):
 GROUPS = {"age": ["age"], "sex": ["sex"], "day": ["day"], "site": ["grp"]}
 
 
-@query("nul1_covariate_subsets", """SELECT n_pcs, n_groups, sum(n) AS n FROM (SELECT p.n_pcs, bit_count(m) AS n_groups, count(*) AS n FROM
-  (SELECT n_nationkey + 1 AS m FROM nation WHERE n_nationkey < 15) a CROSS JOIN (SELECT unnest(range(0, 4)) AS n_pcs) p GROUP BY ALL) q GROUP BY ALL""".replace("bit_count(m)", "cast(bit_count(m) AS INT)").replace("sum(n)", "cast(sum(n) AS BIGINT)").replace("SELECT n_pcs, n_groups", "SELECT cast(n_pcs AS INT) AS n_pcs, n_groups"))
+def _with_gaps(spark, d):
+    return subjects(spark, d).withColumn("day", F.when(F.col("sample_key") % 5 != 0, F.col("day")))
+
+
+@query("nul1_covariate_subsets", """SELECT covariates, cast(CASE WHEN list_contains(c, 'day') THEN known ELSE n END AS INT) AS n FROM (SELECT c, array_to_string(c, ',') AS covariates FROM (
+  SELECT list_transform(list_filter(range(1, 5), lambda i: (m >> (i - 1)) % 2 = 1), lambda i: ['age', 'sex', 'day', 'grp'][i]) AS c FROM (SELECT unnest(range(1, 16)) AS m) a) b) s,
+  (SELECT count(*) AS n, count(*) FILTER (sample_key % 5 <> 0) AS known FROM fx_samples) k""")
 def _(spark, d):
-    # The covariate names come from the subjects' table.
-    subsets = models.covariate_combinations(spark, [c for c in subjects(spark, d).columns if c in GROUPS or c == "grp"], 3)
-    sized = subsets.select("n_pcs", (F.size("covariates") - F.col("n_pcs")).alias("n_groups"))
-    return sized.groupBy("n_pcs", "n_groups").agg(F.count(F.lit(1)).alias("n"))
+    # Every subset of the covariate groups with the number of its complete subjects.
+    fits = models.exhaustive_search(_with_gaps(spark, d), "trait", GROUPS)
+    return models.models_table(spark, fits).select(F.array_join("covariates", ",").alias("covariates"), "n")
 
 
 @query("nul2_exhaustive_search")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from genolith import fixtures as fx
+from genolith.checks.oracle_math import normal_quantile
 from genolith.checks.registry import query, r, rounded
 from genolith.operators import clinical as cl, ranking, trends
 from genolith.plans import design_matrix as dm
@@ -133,10 +134,16 @@ def _(spark, d):
     return rounded(ranking.percentile_rank(e, "value", by=["event_type"]), "value_percentile")
 
 
-@query("win4_irnt")
+SHARE = """SELECT event_id, value, (rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2e0) / count(*) OVER () AS p,
+  (rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2e0 - 5e-1) / count(*) OVER () AS h FROM events"""
+
+
+@query("win4_irnt", f"SELECT event_id, value, CASE WHEN p < 1 THEN round({normal_quantile('p')}, 7) END AS value_irnt, p = 1 AS is_largest, round({normal_quantile('h')}, 7) AS value_irnt_finite FROM ({SHARE}) s")
 def _(spark, d):
     e = fx.table(spark, d, "events").select("event_id", "value")
-    return ranking.irnt(ranking.irnt(e, "value"), "value", "value_irnt_finite", offset=True)
+    out = ranking.irnt(ranking.irnt(e, "value"), "value", "value_irnt_finite", offset=True)
+    out = out.withColumn("is_largest", F.col("value_irnt") == float("inf"))
+    return rounded(out.withColumn("value_irnt", F.when(~F.col("is_largest"), F.col("value_irnt"))), "value_irnt", "value_irnt_finite", digits=7)
 
 
 @query("win5_first_icu_date", f"SELECT Subject_ID, cast({_pick('arg_min', 'Event_Date', f'ICU_Status AND {IN}')} AS VARCHAR) AS first_icu_date FROM fx_clinical GROUP BY Subject_ID")

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from genolith import fixtures as fx
+from genolith.checks.oracle_math import normal_quantile
 from genolith.checks.registry import query, r, rounded
 from genolith.operators import coloc as co, sumstats as ss
 from genolith.session import durable
@@ -144,10 +145,16 @@ def _(spark, d):
     return rounded(out.select("ProbeID", "nsnps", *co.LIKELIHOODS), *co.LIKELIHOODS[1:], digits=6)
 
 
-@query("col3_p_value_factors")
+PV = "(1 / (2 * bn * em * (1 - em)))"  # the frequency of the eQTL set serves both
+PEV = "(1 / (2 * em * (1 - em) * (en + z2 * z2)))"
+P_FACTORS = f"""SELECT ProbeID, SNPID, {_abf('z1', PV, repr(co.SD_PVALUE ** 2) + 'e0')} AS l1, ln(({' + '.join(f"exp({_abf('z2', PEV, w)})" for w in ("1e-2", "1e-1", "5e-1"))}) / 3) AS l2
+  FROM (SELECT *, -{normal_quantile('hb')} AS z1, -{normal_quantile('he')} AS z2 FROM (SELECT *, bp / 2 AS hb, ep / 2 AS he FROM ({MERGED}) m) h) z"""
+
+
+@query("col3_p_value_factors", f"SELECT ProbeID, SNPID, round(l1, 7) AS l1, round(l2, 7) AS l2 FROM ({P_FACTORS}) f WHERE ProbeID IN (SELECT ProbeID FROM ({LOCI}) l)")
 def _(spark, d):
     options = co.ColocOptions(use_beta=False)
-    return factors(spark, d, options).select("ProbeID", "SNPID", "lABF_biom", "lABF_eqtl", "lABF_sum")
+    return factors(spark, d, options).select("ProbeID", "SNPID", r("lABF_biom", 7).alias("l1"), r("lABF_eqtl", 7).alias("l2"))
 
 
 @query("col1_coloc")
@@ -262,6 +269,8 @@ def _(spark, d):
     return ss.munge_sumstats(fx.sql(spark, d, MUNGE)).select("SNP", "A1", "A2", "N")
 
 
-@query("prj10_munged_z")
+@query("prj10_munged_z", f"""SELECT SNP AS "SNP", round(CASE WHEN est > 0 THEN -1 WHEN est < 0 THEN 1 ELSE 0 END * {normal_quantile('h')}, 7) AS "Z" FROM (SELECT variant_id AS SNP, est, score_pval / 2 AS h, row_number() OVER (PARTITION BY variant_id
+  ORDER BY effect_allele, other_allele, n_obs, freq, score_pval, est) AS rn FROM ({MUNGE}) m WHERE n_obs IS NOT NULL AND score_pval > 0 AND score_pval <= 1 AND freq > 1e-2 AND 1 - freq > 1e-2
+  AND concat(effect_allele, other_allele) NOT IN ('AT', 'TA', 'CG', 'GC')) q WHERE rn = 1""")
 def _(spark, d):
-    return ss.munge_sumstats(fx.sql(spark, d, MUNGE))
+    return ss.munge_sumstats(fx.sql(spark, d, MUNGE)).select("SNP", r("Z", 7).alias("Z"))

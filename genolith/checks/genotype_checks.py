@@ -219,11 +219,11 @@ def _(spark, d):
                                                    F.col("info.AC")[0].alias("ac"), r(F.col("info.AF")[0]).alias("af"))
 
 
-SAMPLE_NAMES = """SELECT s_suppkey, concat('PICR', cast(7000 + s_suppkey AS STRING), 'T', cast(s_suppkey % 3 AS STRING),
+SAMPLE_NAMES = """SELECT s_suppkey, concat('SUBJ', cast(7000 + s_suppkey AS STRING), 'T', cast(s_suppkey % 3 AS STRING),
   CASE WHEN s_suppkey % 10 = 4 THEN 'a' ELSE '' END, CASE WHEN s_suppkey % 4 = 1 THEN '_S1' ELSE '' END) AS sample_id FROM supplier"""
 
 
-@query("prj6_subject_from_sample", f"""SELECT s_suppkey, sample_id, concat('PICR', cast(7000 + s_suppkey AS STRING)) AS subject_id
+@query("prj6_subject_from_sample", f"""SELECT s_suppkey, sample_id, concat('SUBJ', cast(7000 + s_suppkey AS STRING)) AS subject_id
   FROM ({SAMPLE_NAMES}) q WHERE right(sample_id, 1) <> 'a'""")
 def _(spark, d):
     return gt.subject_from_sample(fx.sql(spark, d, SAMPLE_NAMES))

@@ -23,3 +23,14 @@ def erfc(x: str) -> str:
 
 def two_sided(z: str) -> str:
     return erfc(f"(abs({z}) / sqrt(2e0))")
+
+
+def normal_quantile(p: str) -> str:
+    """For 0 < p < 1."""
+    q, tail = f"({p} - 5e-1)", f"sqrt(-ln(CASE WHEN {p} < 5e-1 THEN {p} ELSE 1 - {p} END))"
+    centre = f"(180625e-6 - {q} * {q})"
+    near, far = f"({tail} - 16e-1)", f"({tail} - 5)"
+    side = (f"CASE WHEN {tail} <= 5 THEN {poly(near, sp.PPND_C)} / {poly(near, sp.PPND_D)} "
+            f"ELSE {poly(far, sp.PPND_E)} / {poly(far, sp.PPND_F)} END")
+    return (f"(CASE WHEN abs({q}) <= 425e-3 THEN {q} * {poly(centre, sp.PPND_A)} / {poly(centre, sp.PPND_B)} "
+            f"WHEN {q} < 0 THEN -({side}) ELSE {side} END)")

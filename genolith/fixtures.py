@@ -29,7 +29,7 @@ FROM part""",
 FROM supplier""",
     # The oracle spells the variants-by-samples grid as a cross join; Spark
     # generates the sample keys per variant (see ``entries``).
-    "fx_entries": f"""SELECT variant_key, sample_key, {_GT} AS gt, 20 + h1 % 60 AS gq, 15 + h2 % 30 AS dp
+    "fx_entries": f"""SELECT variant_key, sample_key, {_GT} AS gt, cast(20 + h1 % 60 AS INT) AS gq, cast(15 + h2 % 30 AS INT) AS dp
 FROM (SELECT {_HASHES} FROM (SELECT p_partkey AS variant_key, s_suppkey AS sample_key FROM part CROSS JOIN supplier) g) q""",
     "fx_visits": """SELECT user_id AS subject_id, ts AS visit_ts, event_id AS visit_id,
   cast(cast(floor(value) AS BIGINT) % 9 AS DOUBLE) AS who_score,
