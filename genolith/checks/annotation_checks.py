@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from genolith import fixtures as fx
-from genolith.checks.registry import query, r, rounded
-from genolith.operators import annotation as an, sumstats as ss
+from genolith.checks.registry import query, rounded
+from genolith.operators import annotation as an
 from genolith.sources import expression as expr
 
 TERMS = ["stop_gained", "missense_variant", "synonymous_variant", "splice_region_variant", "intron_variant", "start_lost",

@@ -8,7 +8,7 @@ from genolith import fixtures as fx
 from genolith.checks.genotype_checks import CALLS, HWE
 from genolith.checks.oracle_math import two_sided
 from genolith.checks.registry import genotypes, query, r, rounded
-from genolith.operators import association as assoc, genes, meta, models, qc, ranking, samples
+from genolith.operators import association as assoc, genes, meta, models, ranking
 from genolith.plans import gwas as plan
 
 

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from genolith import fixtures as fx
 from genolith.checks.coloc_checks import BIOM
-from genolith.checks.registry import genotypes, query, r, rounded
-from genolith.operators import genotypes as gt, qc
-from genolith.operators.genotypes import GenotypeSet
+from genolith.checks.registry import genotypes, query
+from genolith.operators import genotypes as gt
 from genolith.session import scratch_table
 from genolith.sources import sinks, tables, vcf
 

@@ -31,35 +31,32 @@ def from_bytes(b: bytes, *shape: int) -> np.ndarray:
     return a.reshape(shape) if shape else a
 
 
-def sum_blocks(df: DataFrame, keys: list[str], value: str, carry: list[str] | None = None) -> DataFrame:
+def sum_blocks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Add up equally shaped blocks per key.
 
     The rows of a key arrive next to each other, so a task keeps one sum.
     """
-    carry = carry or []
-    columns = [*keys, *carry, value]
+    columns = [*keys, value]
     schema = df.select(*columns).schema
 
     def running(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, total, extra = None, None, None
+        last, total = None, None
         for pdf in batches:
             out = []
             for row in pdf.itertuples(index=False):
-                key = tuple(row[: len(keys)])
-                part = np.frombuffer(row[-1], dtype=np.float64)
+                key, part = tuple(row[:-1]), np.frombuffer(row[-1], dtype=np.float64)
                 if key == last:
                     total += part
                     continue
                 if last is not None:
-                    out.append((*last, *extra, total.tobytes()))
-                last, total, extra = key, part.copy(), row[len(keys) : -1]
+                    out.append((*last, total.tobytes()))
+                last, total = key, part.copy()
             if out:
                 yield pd.DataFrame(out, columns=columns)
         if last is not None:
-            yield pd.DataFrame([(*last, *extra, total.tobytes())], columns=columns)
+            yield pd.DataFrame([(*last, total.tobytes())], columns=columns)
 
-    ordered = df.select(*columns).repartition(*keys).sortWithinPartitions(*keys)
-    return ordered.mapInPandas(running, schema)
+    return df.select(*columns).repartition(*keys).sortWithinPartitions(*keys).mapInPandas(running, schema)
 
 
 def accumulate(df: DataFrame, keys: list[str], function, salt: Column | None = None) -> DataFrame:

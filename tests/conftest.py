@@ -2,7 +2,6 @@ import os
 import sys
 
 import numpy as np
-import pandas as pd
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

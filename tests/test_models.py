@@ -3,7 +3,6 @@ import math
 import numpy as np
 import pytest
 from conftest import genotype_frames, random_genotypes
-from pyspark.sql import functions as F
 
 from genolith.operators import association as assoc, genes, meta, models, ridge
 

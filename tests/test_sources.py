@@ -1,7 +1,6 @@
 import gzip
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from genolith.operators import genotypes as gt

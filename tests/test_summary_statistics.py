@@ -118,3 +118,27 @@ def test_consequence_order(spark):
     assert len(SEVERITY) == 39
     df = spark.createDataFrame([(["intron_variant", "stop_gained"],), (["nothing"],), ([],)], "t array<string>")
     assert [r[0] for r in df.select(most_severe(F.col("t"))).collect()] == ["stop_gained", None, None]
+
+
+def test_evidence_plans(spark):
+    from genolith.plans.gene_evidence import coloc_evidence, expression_evidence
+
+    assoc = spark.createDataFrame(
+        [(f"v{i}", "chr1", 10 + i, "A", "G", 0.3, 0.01, 0.2 + 0.01 * i, 0.1, 100) for i in range(8)],
+        "variant_id string, contig string, pos bigint, effect_allele string, other_allele string, freq double, score_pval double, est double, est_se double, n_obs int")
+    panel = spark.createDataFrame([(f"p{i}", "chr1", 10 + i, "G", "A") for i in range(8)],
+                                  "panel_variant_id string, chromosome string, position bigint, panel_non_effect string, panel_effect string")
+    rows = [(g, f"N{g}", t, f"p{i}", 0.1 * (i + 1) + (0.05 if t == "b" else 0) * (i % 2)) for k, g in enumerate(("g1", "g2")) for t in "ab" for i in range(4 * k, 4 * k + 4)]
+    weights = spark.createDataFrame(rows, "gene string, gene_name string, tissue string, variant_id string, weight double")
+    cov = [(g, t, f"p{i}", f"p{j}", 0.5 if i == j else 0.1) for k, g in enumerate(("g1", "g2")) for t in "ab" for i in range(4 * k, 4 * k + 4) for j in range(i, 4 * k + 4)]
+    covariance = spark.createDataFrame(cov, "gene string, tissue string, variant_1 string, variant_2 string, value double")
+    out = expression_evidence(assoc, panel, weights, covariance, "trait").toPandas()
+    assert set(out["tissue"]) == {"a", "b", "Meta"} and len(out) == 6
+    assert out.loc[out["tissue"] == "Meta", "fdr_phenotype"].isna().all() and out.loc[out["tissue"] != "Meta", "fdr_phenotype"].notna().all()
+
+    results = spark.createDataFrame([(f"ENSG{i}.1", 1e-6 if i < 12 else 0.5, 0.9 if i < 12 else 0.0) for i in range(60)], "ProbeID string, min_pval_biom double, PP_H4_abf double")
+    annotations = spark.createDataFrame([(f"ENSG{i}", "t1" if i < 15 else "t2") for i in range(60)], "gene_id string, term string")
+    edges = spark.createDataFrame([("t1", "root"), ("t2", "root")], "term string, parent string")
+    ontologies = spark.createDataFrame([(t, "BP") for t in ("t1", "t2", "root")], "term string, ontology string")
+    report, terms = coloc_evidence(results, annotations, edges, ontologies)
+    assert report.count() == 12 and [r["go_id"] for r in terms.collect()] == ["t1"]
