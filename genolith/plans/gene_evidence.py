@@ -16,12 +16,12 @@ def coloc_evidence(results: DataFrame, annotations: DataFrame, edges: DataFrame,
     return coloc.coloc_report(results), enrichment.significant_terms(terms)
 
 
-def expression_evidence(assoc: DataFrame, panel: DataFrame, weights: DataFrame, covariance: DataFrame, phenotype: str) -> DataFrame:
+def expression_evidence(assoc: DataFrame, panel: DataFrame, weights: DataFrame, covariance: DataFrame, joint_covariance: DataFrame, phenotype: str) -> DataFrame:
     """Gene report of one phenotype over its tissues and across them.
 
     ``weights``: gene, gene_name, tissue, variant_id, weight; ``covariance``:
-    gene, tissue, variant_1, variant_2, value. Tissues share a gene's variant
-    covariance, so the cross-tissue step takes each pair of variants once.
+    gene, tissue, variant_1, variant_2, value; ``joint_covariance``: gene,
+    variant_1, variant_2, value over the variants of all tissues.
     """
     c = F.col
     harmonised = durable(sumstats.harmonize_gwas(assoc, panel))
@@ -29,8 +29,7 @@ def expression_evidence(assoc: DataFrame, panel: DataFrame, weights: DataFrame,
     models = weights.select("gene", "tissue", "variant_id", "weight")
     tissue = durable(expression_assoc.gene_association(harmonised, models, covariance, ["gene", "tissue"]))
     adjusted = ranking.adjust_p(tissue, "pvalue", ["tissue"]).select("gene", "tissue", "pvalue", "fdr", "bonferroni")
-    shared = covariance.groupBy("gene", "variant_1", "variant_2").agg(F.first("value").alias("value"))
-    meta = expression_assoc.cross_tissue(tissue, models, shared)
+    meta = expression_assoc.cross_tissue(tissue, models, joint_covariance)
     across = ranking.adjust_p(durable(meta), "pvalue").select("gene", F.lit("Meta").alias("tissue"), "pvalue", "fdr", "bonferroni")
     rows = adjusted.unionByName(across).join(names, "gene").withColumn("phenotype", F.lit(phenotype))
     return expression_assoc.gene_report(rows.select("gene", "gene_name", "pvalue", "fdr", "bonferroni", "phenotype", c("tissue")))

@@ -132,7 +132,7 @@ def test_evidence_plans(spark):
     weights = spark.createDataFrame(rows, "gene string, gene_name string, tissue string, variant_id string, weight double")
     cov = [(g, t, f"p{i}", f"p{j}", 0.5 if i == j else 0.1) for k, g in enumerate(("g1", "g2")) for t in "ab" for i in range(4 * k, 4 * k + 4) for j in range(i, 4 * k + 4)]
     covariance = spark.createDataFrame(cov, "gene string, tissue string, variant_1 string, variant_2 string, value double")
-    out = expression_evidence(assoc, panel, weights, covariance, "trait").toPandas()
+    out = expression_evidence(assoc, panel, weights, covariance, covariance.drop("tissue").distinct(), "trait").toPandas()
     assert set(out["tissue"]) == {"a", "b", "Meta"} and len(out) == 6
     assert out.loc[out["tissue"] == "Meta", "fdr_phenotype"].isna().all() and out.loc[out["tissue"] != "Meta", "fdr_phenotype"].notna().all()
 
