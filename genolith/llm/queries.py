@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genolith.llm import mixing, packing
+from genolith.llm import mixing, packing, pivots, warc
 from genolith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,39 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query("op3_warc_archive", WARC_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    directory, folder = warc.archive(spark, read(spark, sf_dir, "pages"))
+    records = warc.read_records(warc.scan_index(directory, folder), folder, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+TOP_SQL = """
+WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op5_pivot_search", TOP_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = pivots.PivotIndex(pivots.usable(read(spark, sf_dir, "embeddings")))
+    return index.search(index.vectors.where("vec_id % 50 = 0"), 5)
+
+
 #: Weights of the sources by code point, repeated.
 MIX_WEIGHTS = [3.0, 1.0, 2.0]
 
