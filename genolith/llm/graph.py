@@ -1,0 +1,39 @@
+"""Connected components of a large edge list."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from genolith.session import durable
+
+
+def _sides(edges: DataFrame) -> DataFrame:
+    return edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.u", "e.v")
+
+
+def _mark(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) of the nodes of (a, b) edges; root is the smallest node of the component.
+
+    Alternates hooking every larger neighbour, then every smaller one, to a
+    node's least neighbour. Both are a minimum per node and a join, so a node with
+    many neighbours is never gathered. It ends when the edges are stars; their
+    number never grows.
+    """
+    edges = durable(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    before = None
+    while (mark := _mark(edges)) != before:
+        before = mark
+        sides = _sides(edges)
+        least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = sides.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = durable(large)
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        joined = large.join(down, "a")
+        edges = durable(joined.select(F.col("a"), F.col("m").alias("b")).unionByName(joined.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct())
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genolith.llm import mixing, packing, pivots, warc
+from genolith.llm import mixing, neardup, packing, pivots, warc
 from genolith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.search(index.vectors.where("vec_id % 50 = 0"), 5)
 
 
+@query("op8_near_duplicates")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents")).drop("key")
+
+
 #: Weights of the sources by code point, repeated.
 MIX_WEIGHTS = [3.0, 1.0, 2.0]
 
