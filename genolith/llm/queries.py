@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genolith.llm import fingerprints, mixing, neardup, packing, pivots, warc
+from genolith.llm import fingerprints, mixing, neardup, packing, pivots, repeats, warc
 from genolith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents")).drop("key")
 
 
+@query("op7_repeated_passages")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 #: Weights of the sources by code point, repeated.
 MIX_WEIGHTS = [3.0, 1.0, 2.0]
 
