@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Words longer than this are hashed one by one.
+LONG_WORD = 40
 #: Text worked on at once by a task, in bytes.
 BLOCK_BYTES = 6 << 20
 
@@ -88,9 +90,28 @@ def words_of(texts: pa.Array, lower: bool = True) -> Words:
 
 
 def word_hashes(dictionary: pa.Array) -> np.ndarray:
-    """64-bit hashes of the words of a dictionary."""
-    one = xxhash.xxh64_intdigest
-    return np.fromiter((one(w) for w in dictionary.to_pylist()), dtype=np.uint64, count=len(dictionary))
+    """64-bit hashes of the words of a dictionary: byte by byte over all words at once, long words one by one."""
+    n = len(dictionary)
+    if not n:
+        return np.empty(0, np.uint64)
+    offsets = np.frombuffer(dictionary.buffers()[1], np.int32)[dictionary.offset: dictionary.offset + n + 1].astype(np.int64)
+    data = np.frombuffer(dictionary.buffers()[2], np.uint8)
+    lengths = np.diff(offsets)
+    out = lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    order = np.argsort(-lengths, kind="stable")
+    order = order[np.searchsorted(-lengths[order], -LONG_WORD):]  # shorter words only, longest first
+    sizes = -lengths[order]
+    at, value = offsets[order], out[order]
+    for j in range(LONG_WORD):
+        m = np.searchsorted(sizes, -j)  # words of more than j bytes
+        if not m:
+            break
+        value[:m] = (value[:m] ^ data[at[:m] + j]) * np.uint64(0xFF51AFD7ED558CCD)
+        value[:m] ^= value[:m] >> np.uint64(32)
+    out[order] = mix(value)
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        out[i] = xxhash.xxh64_intdigest(data[offsets[i]:offsets[i + 1]].tobytes())
+    return out
 
 
 #: Odd multipliers of the five words of a shingle.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genolith.llm import fingerprints, mixing, neardup, packing, pivots, repeats, warc
+from genolith.llm import fingerprints, maxent, mixing, neardup, packing, pivots, repeats, warc
 from genolith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op4_maxent_scores")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_documents(read(spark, sf_dir, "documents"))
+
+
 TOP_SQL = """
 WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
