@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genolith.llm import fingerprints, maxent, mixing, neardup, packing, pivots, repeats, warc
+from genolith.llm import fingerprints, langid, maxent, mixing, neardup, packing, pivots, repeats, warc
 from genolith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents")).drop("key")
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify_documents(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "language", "posterior", "text_language", F.col("accepted").alias("kept"))
+
+
+@query("op6_page_languages")
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.train(read(spark, sf_dir, "documents"))
+    return langid.identify(langid.page_captures(read(spark, sf_dir, "pages")), model, ["page_id"])
+
+
 @query("op7_repeated_passages")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents"))
