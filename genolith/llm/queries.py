@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genolith.llm import fingerprints, langid, maxent, mixing, neardup, packing, pivots, repeats, warc
+from genolith.llm import fingerprints, langid, maxent, mixing, neardup, packing, pivots, repeats, secret_scan, warc
 from genolith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_secret_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "place", "finding", "source", *[F.round(c, 6).alias(c) for c in secret_scan.FEATURES], "probability", "is_secret")
+
+
 @query("op2_document_fingerprints")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(read(spark, sf_dir, "documents"))
