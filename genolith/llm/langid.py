@@ -50,11 +50,10 @@ def _trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     bucket = ((code * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int32)
     inside = np.ones(len(bucket) + 2, bool)
     ends = starts[1:]
-    inside[np.maximum(ends - 1, 0)] = False
-    inside[np.maximum(ends - 2, 0)] = False
-    short = np.flatnonzero((n == 0) & (np.diff(starts) > 0))
-    for d in short:
-        inside[starts[d]:starts[d + 1]] = False
+    filled = np.diff(starts) > 0
+    inside[ends[filled] - 1] = False
+    inside[np.maximum(ends - 2, starts[:-1])[filled]] = False
+    # The last two places of a text start no trigram; in a shorter text no place does.
     return bucket[inside[: len(bucket)]], np.concatenate([[0], np.cumsum(n)])
 
 

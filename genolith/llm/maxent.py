@@ -65,7 +65,8 @@ def word_counts(rows: DataFrame) -> DataFrame:
             words = words_of(block.column("text"))
             ends += block.num_rows
             if len(words.codes):
-                held.append((word_hashes(words.dictionary), np.bincount(words.codes, minlength=len(words.dictionary))))
+                n = np.bincount(words.codes, minlength=len(words.dictionary))
+                held.append((word_hashes(words.dictionary)[n > 0], n[n > 0]))
                 size += len(words.dictionary)
             if size > 2_000_000:
                 h, n = merged()
