@@ -40,6 +40,43 @@ def _(spark, d):
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("gt"), F.lit(0)).alias("ac"), F.count("gt").alias("n_called"), F.sum("dp").alias("dp"), F.sum("gq").alias("gq"))
 
 
+# A call set with two alternate alleles, three samples and typed fields, spelled out per line; and what the split must give.
+MULTI = "SELECT v.contig, v.pos, v.ref, v.alt, concat(v.ref, v.alt) AS alt2, p_partkey AS k, p_size AS z FROM part JOIN fx_variants v ON v.variant_key = p_partkey"
+ALLELE = {"i": "least((k + s) % 3, (k + 2 * s) % 3)", "j": "greatest((k + s) % 3, (k + 2 * s) % 3)"}
+DEPTH = ["z", "s", "k % 7"]
+LIKELY = [f"(k + s + {n * n}) % 50" for n in range(6)]
+COPIES = {1: [(0, 3, 5), (1, 4), (2,)], 2: [(0, 1, 2), (3, 4), (5,)]}
+
+
+def _split_sql(a: int) -> str:
+    pl = ", ".join(f"least({', '.join(LIKELY[n] for n in held)}, 99) AS pl{c}" for c, held in enumerate(COPIES[a]))
+    return (f"SELECT contig, pos, {'alt' if a == 1 else 'alt2'} AS alt, concat('S', cast(s AS STRING)) AS sample, "
+            f"cast(CASE WHEN {ALLELE['i']} = {a} THEN 1 ELSE 0 END + CASE WHEN {ALLELE['j']} = {a} THEN 1 ELSE 0 END AS INT) AS gt, "
+            f"cast({' + '.join(DEPTH)} - ({DEPTH[a]}) AS BIGINT) AS ad_ref, cast({DEPTH[a]} AS BIGINT) AS ad_alt, {pl}, "
+            f"cast(k % 5 + {a} AS BIGINT) AS ac, (k % {a + 1}) / 4e0 AS af, z % 2 = 0 AS typed, "
+            f"z % 2 = 0 AND k % 5 + {a} >= 3 AS typed_common FROM ({MULTI}) m CROSS JOIN (SELECT unnest([1, 2, 3]) AS s) t")
+
+
+@query("src2_vcf_fields", f"SELECT contig, pos, alt, sample, gt, ad_ref, ad_alt, cast(pl0 AS BIGINT) AS pl0, cast(pl1 AS BIGINT) AS pl1, cast(pl2 AS BIGINT) AS pl2, ac, af, typed, typed_common FROM ({_split_sql(1)} UNION ALL {_split_sql(2)}) q")
+def _(spark, d):
+    def entry(s: int) -> str:
+        at = lambda text: text.replace("s", str(s)) if text == "s" else text.replace("+ s", f"+ {s}").replace("2 * s", f"2 * {s}")
+        numbers = lambda parts: "concat_ws(',', " + ", ".join(f"cast({at(x)} AS STRING)" for x in parts) + ")"
+        return f"concat(cast({at(ALLELE['i'])} AS STRING), '/', cast({at(ALLELE['j'])} AS STRING), ':', {numbers(DEPTH)}, ':', {numbers(LIKELY)})"
+
+    info = "concat('AC=', k % 5 + 1, ',', k % 5 + 2, ';AF=', (k % 2) / 4e0, ',', (k % 3) / 4e0, CASE WHEN z % 2 = 0 THEN ';TYPED' ELSE '' END)"
+    fields = ["contig", "cast(pos AS STRING)", "'.'", "ref", "concat(alt, ',', alt2)", "'.'", "'.'", info, "'GT:AD:PL'", entry(1), entry(2), entry(3)]
+    lines = fx.sql(spark, d, MULTI).selectExpr(f"concat_ws('\t', {', '.join(fields)}) AS value")
+    names = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "S1", "S2", "S3"])
+    head = [sinks.META, '##INFO=<ID=TYPED,Number=0,Type=Flag,Description="typed">', names]
+    path = sinks.write_with_header(lines.repartition(8), head, scratch_table(spark, "vcf"))
+    _, calls = vcf.read_vcf(spark, path)
+    split = gt.split_multi(calls)
+    return split.select("contig", "pos", "alt", "sample", "gt", F.get("AD", F.lit(0)).alias("ad_ref"), F.get("AD", F.lit(1)).alias("ad_alt"),
+                        *[F.get("PL", F.lit(i)).alias(f"pl{i}") for i in range(3)], F.get("info.AC", F.lit(0)).alias("ac"), F.get("info.AF", F.lit(0)).alias("af"), F.col("info.TYPED").alias("typed"),
+                        (F.col("info.TYPED") & (F.get("info.AC", F.lit(0)) >= 3)).alias("typed_common"))
+
+
 @query("snk3_vcf_shards", "SELECT contig, count(*) AS n_lines FROM fx_variants GROUP BY contig")
 def _(spark, d):
     path = sinks.write_vcf_shards(genotypes(spark, d), scratch_table(spark, "vcf"), n=8)
@@ -93,12 +130,23 @@ RESULT = "SELECT p_partkey AS gene, p_retailprice AS pvalue, p_brand, p_type FRO
 def _(spark, d):
     rows = fx.sql(spark, d, RESULT)
     base = scratch_table(spark, "labelled")
-    # One file per label pair, named like the result files of a tissue run.
-    named = rows.select("gene", "pvalue", F.concat(F.regexp_replace("p_brand", "#", ""), F.lit("."),
-                        F.when(F.col("p_type") == "ECONOMY", "smultixcan").otherwise(F.col("p_type")), F.lit(".csv")).alias("file"))
+    # One file per label pair, named like the result files of a tissue run and read back by those names.
+    label = F.when(F.col("p_type") == "ECONOMY", "smultixcan").otherwise(F.col("p_type"))
+    named = rows.select("gene", "pvalue", F.concat(F.regexp_replace("p_brand", "#", ""), F.lit("."), label, F.lit(".csv")).alias("file"))
     named.write.mode("overwrite").partitionBy("file").option("header", True).option("sep", "\t").csv(base)
-    read = spark.read.option("sep", "\t").option("header", True).schema("gene bigint, pvalue double, file string").csv(base)
-    return tables.with_labels(read.withColumnRenamed("file", "_file"))
+    store = spark._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    paths = []
+    for folder in store.listStatus(path(base)):
+        if not folder.isDirectory():
+            continue
+        name = folder.getPath().getName().removeprefix("file=").removesuffix(".csv")
+        for i, part in enumerate(store.listStatus(folder.getPath())):
+            if part.getPath().getName().endswith(".csv"):
+                target = path(f"{base}/{name}.{i}.csv")
+                store.rename(part.getPath(), target)
+                paths.append(target.toString())
+    return tables.read_labelled(spark, paths, schema="gene bigint, pvalue double").select("gene", "pvalue", "tissue", "phenotype")
 
 
 READS = "SELECT concat('S', cast(l_suppkey AS STRING)) AS sample, l_orderkey * 10 + l_linenumber AS read_no, concat('I:1:H', cast(l_partkey % 5 AS STRING), CASE WHEN l_quantity > 49 THEN 'X' ELSE '' END, ':1:2:3:4') AS read_name FROM lineitem"
@@ -116,10 +164,16 @@ def _(spark, d):
     return tables.read_endpoint(spark, path)
 
 
-@query("snk1_endpoint_by_contig", "SELECT contig, count(*) AS n FROM fx_variants WHERE contig IN ('chr3', 'chr5') GROUP BY contig")
+@query("snk1_endpoint_by_contig", "SELECT * FROM fx_variants")
 def _(spark, d):
     path = sinks.write_endpoint(fx.view(spark, d, "fx_variants"), scratch_table(spark, "endpoint"))
-    return tables.read_endpoint(spark, path).where("contig IN ('chr3', 'chr5')").groupBy("contig").agg(F.count(F.lit(1)).alias("n"))
+    # Each chromosome comes from its own folder.
+    read = tables.read_endpoint(spark, path)
+    parts = [read.where(F.col("contig") == f"chr{i}") for i in range(1, 23)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 @query("set2_gather_shards", "SELECT event_id, event_type, value FROM events")
@@ -151,6 +205,4 @@ def _(spark, d):
 @query("prj25_endpoint_name", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN concat('set', cast(p_size AS VARCHAR), '.LOF_filtered') ELSE concat('set', cast(p_size AS VARCHAR), '.QC.LOF_filtered') END AS name FROM part")
 def _(spark, d):
     stems = fx.table(spark, d, "part").selectExpr("p_partkey", "CASE WHEN p_partkey % 2 = 0 THEN concat('set', p_size, '.VEP_annotated.mt') ELSE concat('set', p_size, '.QC.mt') END AS stem")
-    distinct = {row["stem"]: gt.endpoint_name(row["stem"], "LOF_filtered") for row in stems.select("stem").distinct().toLocalIterator()}
-    names = spark.createDataFrame(list(distinct.items()), "stem string, name string")
-    return stems.join(F.broadcast(names), "stem").select("p_partkey", "name")
+    return stems.select("p_partkey", gt.endpoint_name(F.col("stem"), "LOF_filtered").alias("name"))

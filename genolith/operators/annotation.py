@@ -32,9 +32,6 @@ NON_CODING = [
 ]
 SEVERITY = CODING_HIGH + CODING_MEDIUM + CODING_LOW + NON_CODING
 ALL_CODING = CODING_HIGH + CODING_MEDIUM + CODING_LOW
-LOF_TERMS = ["stop_gained", "splice_donor_variant", "splice_acceptor_variant", "frameshift_variant"]
-MISSENSE_TERMS = ["missense_variant", "inframe_insertion", "inframe_deletion"]
-SYNONYMOUS_TERMS = ["synonymous_variant"]
 
 
 def most_severe(terms: Column) -> Column:

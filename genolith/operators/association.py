@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from genolith.functions.special import CHI2_1_MEDIAN, chi2_1_sf
 from genolith.operators.genotypes import contig_index
-from genolith.operators.models import INTERCEPT, FittedModel
+from genolith.operators.models import INTERCEPT, FittedModel, with_factors
 from genolith.operators.ranking import exact_quantile
 from genolith.session import broadcast_if_small
 
@@ -34,10 +34,11 @@ class ScoreModel:
 def score_model(data: DataFrame, outcome: str, model: FittedModel, offset: str | None = None) -> ScoreModel:
     """Residuals, weights and orthonormal covariates of a fitted null model."""
     covariates = model.columns[1:]
+    data = with_factors(data, covariates)
     complete = data.where(
         F.col(outcome).isNotNull() & ~F.isnan(F.col(outcome).cast("double")) & _all_present(covariates)
     )
-    terms = [F.lit(float(b)) * (F.lit(1.0) if c == INTERCEPT else F.col(c).cast("double")) for b, c in zip(model.coefficients, model.columns)]
+    terms = [F.lit(float(b)) * (F.lit(1.0) if c == INTERCEPT else F.col(f"`{c}`").cast("double")) for b, c in zip(model.coefficients, model.columns)]
     eta = sum(terms[1:], terms[0])
     if offset:
         eta = eta + F.col(offset)
@@ -49,7 +50,7 @@ def score_model(data: DataFrame, outcome: str, model: FittedModel, offset: str |
     y = F.col(outcome).cast("double")
     base = complete.select(
         "sample_key", y.alias("outcome"), ((y - mu) * scale).alias("resid"), weight.alias("weight"),
-        *[(F.lit(1.0) if c == INTERCEPT else F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(model.columns)],
+        *[(F.lit(1.0) if c == INTERCEPT else F.col(f"`{c}`").cast("double")).alias(f"x{i}") for i, c in enumerate(model.columns)],
     )
     p = len(model.columns)
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
@@ -71,7 +72,7 @@ def score_model(data: DataFrame, outcome: str, model: FittedModel, offset: str |
 def _all_present(columns: list[str]) -> Column:
     ok = F.lit(True)
     for c in columns:
-        ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+        ok = ok & F.col(f"`{c}`").isNotNull() & ~F.isnan(F.col(f"`{c}`").cast("double"))
     return ok
 
 

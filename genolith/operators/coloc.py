@@ -362,8 +362,11 @@ PENALTY_MEAN = np.array([2.0, -2.0, -2.0, -2.0, -2.0])
 PENALTY_SD = 3.0
 
 
-def _maximise(likelihoods: DataFrame, starts: dict[int, np.ndarray], weights, penalised: bool, bootstrap: bool, rounds: int = 40) -> dict[int, np.ndarray]:
-    """Scoring steps with step halving; one Spark job per round for all points."""
+def _maximise(likelihoods: DataFrame, starts: dict[int, np.ndarray], weights, penalised: bool, bootstrap: bool, rounds: int = 500) -> dict[int, np.ndarray]:
+    """Scoring steps with step halving; one Spark job per round for all points.
+
+    A point leaves when its value has settled. Raises if some have not after ``rounds``.
+    """
     best = {i: a.copy() for i, a in starts.items()}
     state: dict[int, tuple] = {}
     trial = dict(best)
@@ -406,6 +409,8 @@ def _maximise(likelihoods: DataFrame, starts: dict[int, np.ndarray], weights, pe
             direction = state[i][2]
             longest = np.abs(direction).max()
             trial[i] = state[i][1] + step[i] * direction * min(1.0, 2.0 / longest if longest > 0 else 1.0)
+    if active:
+        raise RuntimeError(f"{len(active)} of {len(best)} prior fits have not settled after {rounds} rounds")
     return best
 
 

@@ -21,21 +21,20 @@ def significant_genes(results: DataFrame, kind: str) -> DataFrame:
     return results.select(strip_version(gene).alias("gene_id"), hit.alias("significant"))
 
 
-def ancestors(edges: DataFrame, max_depth: int = 100) -> DataFrame:
+def ancestors(edges: DataFrame) -> DataFrame:
     """(term, ancestor) pairs of the ontology graph, each term its own ancestor.
 
-    Grows from the known pairs one level at a time and keeps new pairs only,
-    so a term reached on many paths is not multiplied.
+    Newly found pairs are joined with all known ones, so the length of the paths
+    doubles with each round; only new pairs are kept, so it ends, on cycles too.
     """
-    up = durable(edges.select("term", F.col("parent")).distinct())
-    terms = up.select("term").union(up.select("parent")).distinct()
-    known = durable(terms.select("term", F.col("term").alias("ancestor")))
-    frontier = known
-    for _ in range(max_depth):
-        step = frontier.join(up.withColumnRenamed("term", "ancestor"), "ancestor").select("term", F.col("parent").alias("ancestor")).distinct()
+    up = edges.select("term", F.col("parent").alias("ancestor")).distinct()
+    terms = up.select("term").union(up.select("ancestor")).distinct()
+    frontier = durable(up.where("term <> ancestor"))
+    known = durable(terms.select("term", F.col("term").alias("ancestor")).unionByName(frontier))
+    while not frontier.isEmpty():
+        onward = known.where("term <> ancestor").select(F.col("term").alias("via"), "ancestor")
+        step = frontier.select("term", F.col("ancestor").alias("via")).join(onward, "via").select("term", "ancestor").distinct()
         frontier = durable(step.join(known, ["term", "ancestor"], "left_anti"))
-        if frontier.isEmpty():
-            break
         known = durable(known.unionByName(frontier))
     return known
 

@@ -78,22 +78,31 @@ def burden_scores(entries: DataFrame, members: DataFrame, model: ScoreModel) ->
 
 
 def upper_gamma(shape: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Regularised upper incomplete gamma function, vectorised."""
-    shape, x = np.asarray(shape, float), np.asarray(x, float)
-    log_front = shape * np.log(np.maximum(x, 1e-300)) - x - np.array([math.lgamma(a) for a in shape])
-    term = 1.0 / shape
-    series = term.copy()
-    for k in range(1, 1000):
-        term = term * x / (shape + k)
+    """Regularised upper incomplete gamma function, vectorised.
+
+    Below the shape the series is summed, above it the continued fraction, each
+    until its terms no longer change the result.
+    """
+    shape, x = np.broadcast_arrays(np.asarray(shape, float), np.asarray(x, float))
+    log_front = shape * np.log(np.maximum(x, 1e-300)) - x - np.vectorize(math.lgamma, otypes=[float])(shape)
+    result = np.full(x.shape, np.nan)
+    low = x < shape + 1
+    s, y = shape[low], np.maximum(x[low], 0.0)
+    term = 1.0 / s
+    series, k = term.copy(), 0
+    while len(s) and np.any(term > 1e-16 * series):
+        k += 1
+        term = term * y / (s + k)
         series += term
-        if np.all(term <= 1e-16 * series):
-            break
-    b = x + 1.0 - shape
-    c = np.full_like(x, 1e300)
-    d = 1.0 / np.where(np.abs(b) < 1e-300, 1e-300, b)
-    h = d.copy()
-    for k in range(1, 1000):
-        a = -k * (k - shape)
+    result[low] = 1.0 - np.exp(log_front[low]) * series
+    high = x >= shape + 1
+    s, y = shape[high], x[high]
+    b = y + 1.0 - s
+    c, d = np.full_like(y, 1e300), 1.0 / np.where(np.abs(b) < 1e-300, 1e-300, b)
+    h, delta, k = d.copy(), np.full_like(y, 2.0), 0
+    while len(s) and np.any(np.abs(delta - 1) > 1e-14):
+        k += 1
+        a = -k * (k - s)
         b = b + 2.0
         d = a * d + b
         d = 1.0 / np.where(np.abs(d) < 1e-300, 1e-300, d)
@@ -101,11 +110,8 @@ def upper_gamma(shape: np.ndarray, x: np.ndarray) -> np.ndarray:
         c = np.where(np.abs(c) < 1e-300, 1e-300, c)
         delta = d * c
         h = h * delta
-        if np.all(np.abs(delta - 1) < 1e-15):
-            break
-    low = x < shape + 1
-    with np.errstate(over="ignore", invalid="ignore"):
-        result = np.where(low, 1.0 - np.exp(log_front) * series, np.exp(log_front) * h)
+    with np.errstate(over="ignore", under="ignore"):
+        result[high] = np.exp(log_front[high]) * h
     return np.where(x <= 0, 1.0, np.clip(result, 0.0, 1.0))
 
 

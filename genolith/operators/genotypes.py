@@ -177,9 +177,7 @@ def subject_from_sample(samples: DataFrame, sample="sample_id") -> DataFrame:
     return samples.where(~s.endswith("a")).withColumn("subject_id", subject)
 
 
-def endpoint_name(name: str, suffix: str) -> str:
+def endpoint_name(name: Column, suffix: str) -> Column:
     """Replace a trailing ``*_annotated`` part of an endpoint's name, else append."""
-    stem = name.removesuffix(".mt")
-    head, _, tail = stem.rpartition(".")
-    base = head if head and tail.endswith("_annotated") else stem
-    return f"{base}.{suffix}"
+    stem = F.regexp_replace(name, r"\.mt$", "")
+    return F.concat(F.regexp_replace(stem, r"(?<=.)\.[^.]*_annotated$", ""), F.lit(f".{suffix}"))

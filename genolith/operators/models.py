@@ -101,15 +101,56 @@ def _pass(data: DataFrame, outcome: str, models: list[FittedModel], current: dic
             yield pd.DataFrame({"model": [i], "block": [to_bytes(part)]})
 
     needed = sorted({c for m in models for c in m.columns if c != INTERCEPT})
-    numeric = data.select(F.col(outcome).cast("double").alias(outcome), *[F.col(c).cast("double").alias(c) for c in needed if c != outcome])
+    numeric = data.select(F.col(outcome).cast("double").alias(outcome), *[F.col(f"`{c}`").cast("double").alias(c) for c in needed if c != outcome])
     return sum_blocks(numeric.mapInPandas(sums, "model int, block binary"), ["model"], "block")
 
 
+FACTOR = "="
+
+
+def factor_levels(data: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Indicator columns of the text and yes/no columns among ``columns``: ``name=level``.
+
+    Levels are taken in order and the first, the base, has none; their number must be
+    small, as each becomes a column.
+    """
+    kinds = dict(data.dtypes)
+    out = {}
+    for column in columns:
+        if kinds.get(column) == "boolean":
+            out[column] = [f"{column}{FACTOR}true"]
+        elif kinds.get(column) == "string":
+            levels = [r[0] for r in data.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(MOST_LEVELS + 1).collect()]
+            if len(levels) > MOST_LEVELS:
+                raise ValueError(f"{column} has over {MOST_LEVELS} levels; it cannot be a covariate")
+            out[column] = [f"{column}{FACTOR}{level}" for level in levels[1:]]
+    return out
+
+
+def with_factors(data: DataFrame, columns: list[str]) -> DataFrame:
+    """``data`` with the indicator columns among ``columns`` that it lacks; a missing value stays missing."""
+    new = {}
+    for name in columns:
+        if FACTOR in name and name not in data.columns:
+            column, level = name.split(FACTOR, 1)
+            new[name] = (F.col(column).cast("string") == level).cast("double")
+    return data.withColumns(new) if new else data
+
+
+MOST_LEVELS = 100
+
+
 def fit_models(data: DataFrame, outcome: str, covariate_sets: dict[str, list[str]], family: str | None = None,
                max_iterations: int = 25) -> list[FittedModel]:
-    """Fit every covariate set; a singular or diverging fit keeps its reason."""
+    """Fit every covariate set; a singular or diverging fit keeps its reason.
+
+    Text and yes/no covariates become treatment-coded columns.
+    """
     if family is None:
         family = data.agg(outcome_family(outcome)).first()[0]
+    levels = factor_levels(data, sorted({c for columns in covariate_sets.values() for c in columns}))
+    covariate_sets = {name: [x for c in columns for x in levels.get(c, [c])] for name, columns in covariate_sets.items()}
+    data = with_factors(data, [c for columns in levels.values() for c in columns])
     models = [FittedModel(name, [INTERCEPT, *columns], family) for name, columns in covariate_sets.items()]
     current = {i: np.zeros(len(m.columns)) for i, m in enumerate(models)}
     deviance = {i: math.inf for i in current}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
     """A session with the settings the operators rely on; an existing one is reused."""
     builder = (
         SparkSession.builder.appName("genolith")
@@ -25,31 +24,45 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None)
     )
     if master:
         builder = builder.master(master)
-    if master and master.startswith("local"):
-        builder = builder.config("spark.driver.memory", "20g")
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session, whose single process sees its own disk, gets a
-    temporary folder when the setting is missing.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session; raises without it."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     ) or spark.sparkContext.getCheckpointDir()
-    if path:
-        return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not path:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="genolith-")
-    spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
+def use_own_folder(spark: SparkSession) -> None:
+    """For one-machine runs (tests, bench, the contract): a folder of the run's own, removed when it ends.
+
+    Does nothing where the session names a folder.
+    """
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        return
+    try:
+        shared_dir(spark)
+    except ValueError:
+        import tempfile
+
+        folder = tempfile.TemporaryDirectory(prefix="genolith-", ignore_cleanup_errors=True)
+        OWN_FOLDERS.append(folder)
+        spark.conf.set("spark.checkpoint.dir", f"file://{folder.name}")
+
+
+#: Kept until the interpreter ends, which removes them.
+OWN_FOLDERS: list = []
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them back.
 
@@ -67,20 +80,21 @@ def scratch_table(spark: SparkSession, label: str) -> str:
 
 
 def row_width(schema: T.StructType) -> int:
-    """Bytes one row takes in memory, for fixed-width and short text columns."""
+    """Bytes one row takes in memory besides its text."""
     widths = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.BooleanType: 1, T.FloatType: 4}
-    return 16 + sum(widths.get(type(f.dataType), 8 if not isinstance(f.dataType, T.StringType) else 64)
-                    for f in schema.fields)
+    return 16 + sum(widths.get(type(f.dataType), 8) for f in schema.fields)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast when its counted size is below ``limit``.
+    """Mark ``df`` for broadcast when its counted size, texts measured, is below ``limit``.
 
     Above it the hint is left off and the join shuffles (with adaptive skew
     handling). Meant for per-sample and per-gene tables, where counting is cheap
-    next to the genotype scan that follows.
+    next to the genotype scan that follows; pass a written table where the lineage is long.
     """
     if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for f in df.schema.fields):
         return df
-    rows = df.count()
-    return F.broadcast(df) if rows * row_width(df.schema) <= limit else df
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    measured = sum((F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`")) + 24), F.lit(0)) for c in texts), F.lit(0))
+    rows, text = df.agg(F.count(F.lit(1)), measured).first()
+    return F.broadcast(df) if rows * row_width(df.schema) + text <= limit else df

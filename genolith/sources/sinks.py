@@ -91,15 +91,21 @@ def write_vcf_shards(g: GenotypeSet, path: str, n: int = 1000) -> str:
     lines, header = vcf_lines(g)
     ranged = lines.withColumn("_c", contig_index()).repartitionByRange(n, "_c", "pos").sortWithinPartitions("_c", "pos", "ref", "alt")
 
-    def with_header(batches):
+    return write_with_header(ranged.select("value"), [META, header], path)
+
+
+def write_with_header(lines: DataFrame, header: list[str], path: str) -> str:
+    """The (value) lines as text, every file of them under its own header."""
+
+    def headed(batches):
         import pandas as pd
 
         first = True
         for pdf in batches:
             if first and len(pdf):
-                yield pd.DataFrame({"value": [META, header]})
+                yield pd.DataFrame({"value": header})
                 first = False
             yield pdf[["value"]]
 
-    ranged.select("value").mapInPandas(with_header, "value string").write.mode("overwrite").text(path)
+    lines.mapInPandas(headed, "value string").write.mode("overwrite").text(path)
     return path

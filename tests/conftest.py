@@ -6,12 +6,13 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from genolith.session import get_spark  # noqa: E402
+from genolith.session import get_spark, use_own_folder  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_spark("local[4]", 4)
+    session = get_spark("local[4]", 4, "8g")
+    use_own_folder(session)
     session.sparkContext.setLogLevel("ERROR")
     return session
 

@@ -47,9 +47,10 @@ def test_ac_window_counts_both_alleles(spark):
     assert {r["variant_key"] for r in qc.ac_window(df, 1).collect()} == {4}
 
 
-def test_endpoint_names():
-    assert gt.endpoint_name("a.QC.VEP_annotated.mt", "LOF_filtered") == "a.QC.LOF_filtered"
-    assert gt.endpoint_name("a.QC.mt", "LOF_filtered") == "a.QC.LOF_filtered"
+def test_endpoint_names(spark):
+    names = spark.createDataFrame([("a.QC.VEP_annotated.mt",), ("a.QC.mt",), ("VEP_annotated",), (".x_annotated",)], "name string")
+    got = [r[0] for r in names.select(gt.endpoint_name(F.col("name"), "LOF_filtered")).collect()]
+    assert got == ["a.QC.LOF_filtered", "a.QC.LOF_filtered", "VEP_annotated.LOF_filtered", ".x_annotated.LOF_filtered"]
 
 
 def test_range_join_equals_brute_force(spark):

@@ -155,3 +155,24 @@ def test_whole_genome_predictor_helps_a_polygenic_trait(spark):
     assert np.corrcoef(wide.mean(axis=1), y)[0, 1] > 0.3
     tests = ridge.offset_tests(entries, variants, df, "y", ["c"], pred).toPandas()
     assert len(tests) == 150 and (tests["chisq"] >= 0).all()
+
+
+def test_factor_and_yes_no_covariates(spark):
+    """Text and boolean columns enter as treatment-coded indicators, in the fit and in the score model."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(120):
+        race, sex, smoker = ["A", "B", "C"][i % 3], ["F", "M"][(i // 3) % 2], bool(rng.random() < 0.4)
+        y = 1.0 + 2.0 * (race == "B") - 1.5 * (race == "C") + 0.5 * (sex == "M") + 0.7 * smoker + float(rng.normal(0, 0.3))
+        rows.append((i, y, race, sex, smoker, float(rng.normal())))
+    rows.append((120, 1.0, None, "F", True, 0.0))
+    df = spark.createDataFrame(rows, "sample_key bigint, y double, race string, sex string, smoker boolean, age double")
+    model = models.fit_models(df, "y", {"m": ["race", "sex", "smoker", "age"]}, "gaussian")[0]
+    assert model.columns == ["(intercept)", "race=B", "race=C", "sex=M", "smoker=true", "age"] and model.n == 120
+    x = np.array([[1, r[2] == "B", r[2] == "C", r[3] == "M", r[4], r[5]] for r in rows[:120]], float)
+    want = np.linalg.lstsq(x, np.array([r[1] for r in rows[:120]]), rcond=None)[0]
+    assert np.allclose(model.coefficients, want)
+    from genolith.operators.association import score_model
+
+    resid = score_model(df, "y", model).table.toPandas().set_index("sample_key")["resid"].sort_index() * model.dispersion
+    assert np.allclose(resid, np.array([r[1] for r in rows[:120]]) - x @ want)

@@ -1,4 +1,6 @@
 import gzip
+
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -25,7 +27,22 @@ def test_vcf_text(spark, tmp_path):
     assert rows["chr1", "C", "S2"]["AD"] == [4, 4] and rows["chr1", "C", "S1"]["dp"] == 8
     assert rows["chrX", "TA", "S1"]["gt"] == 2 and rows["chrX", "TA", "S2"]["dp"] is None
     info = {r["id"]: r["info"] for r in sites.collect()}
-    assert info["rs1"] == {"AC": "1,2", "DB": "true"}
+    assert info["rs1"]["AC"] == [1, 2] and info["rs1"]["TYPED"] is False
+    with_info = {(r["contig"], r["alt"], r["sample"]): r for r in gt.split_multi(calls).collect()}
+    assert with_info["chr1", "G", "S1"]["info"]["AC"] == [2] and with_info["chr1", "C", "S2"]["AD"] == [4, 4]
+
+
+def test_every_vcf_file_has_its_own_samples(spark, tmp_path):
+    line = "1\t5\t.\tA\tC\t.\t.\t{info}\tGT:DP:GP\t{a}\t{b}\n"
+    head = "##fileformat=VCFv4.2\n{more}#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t{names}\n"
+    (tmp_path / "a.vcf").write_text(head.format(more='##INFO=<ID=QD,Number=1,Type=Float,Description="x">\n', names="X\tY") + line.format(info="QD=2.5;IMPUTED", a="0/1:3:0.1,0.9,0", b="0/0:4:."))
+    (tmp_path / "b.vcf").write_text(head.format(more="", names="Y\tX") + line.format(info=".", a="1/1:5:0,0,1", b="./.:.:."))
+    sites, calls = vcf.read_vcf(spark, str(tmp_path))
+    got = sorted((r["sample"], r["a1"], r["a2"], r["dp"], r["GP"], r["info"]["QD"], r["info"]["IMPUTED"]) for r in calls.where("a1 is not null").collect())
+    assert got == [("X", 0, 1, 3, [0.1, 0.9, 0.0], 2.5, True), ("Y", 0, 0, 4, None, 2.5, True), ("Y", 1, 1, 5, [0.0, 0.0, 1.0], None, False)]
+    (tmp_path / "c.vcf").write_text(line.format(info=".", a="0/0:1:.", b="0/0:1:."))
+    with pytest.raises(Exception, match="no header line"):
+        vcf.read_vcf(spark, str(tmp_path))[1].collect()
 
 
 def test_bed_is_half_open(spark, tmp_path):

@@ -142,3 +142,12 @@ def test_evidence_plans(spark):
     ontologies = spark.createDataFrame([(t, "BP") for t in ("t1", "t2", "root")], "term string, ontology string")
     report, terms = coloc_evidence(results, annotations, edges, ontologies)
     assert report.count() == 12 and [r["go_id"] for r in terms.collect()] == ["t1"]
+
+
+def test_closure_of_a_deep_graph_and_of_a_cycle(spark):
+    from genolith.operators.enrichment import ancestors
+
+    deep = spark.createDataFrame([(f"t{i}", f"t{i + 1}") for i in range(300)], "term string, parent string")
+    assert ancestors(deep).count() == 301 * 302 // 2
+    ring = spark.createDataFrame([(f"t{i}", f"t{(i + 1) % 7}") for i in range(7)], "term string, parent string")
+    assert ancestors(ring).count() == 49
