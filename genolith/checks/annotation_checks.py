@@ -139,12 +139,18 @@ def _(spark, d):
     return an.variant_expression(_hits(spark, d), summary(spark, d))
 
 
-@query("agg13_expression_proportion", f"SELECT variant_key, csq, ensg, symbol, lof, lof_flag, round(mean_proportion, 8) AS mean_proportion FROM ({PEXT}) p")
+SAME = " AND ".join(f"b.{k} IS NOT DISTINCT FROM p.{k}" for k in ("variant_key", "csq", "ensg", "symbol", "lof", "lof_flag"))
+SHARES = f"""SELECT s.variant_key, csq, s.ensg, symbol, lof, lof_flag, s.tissue, expression / gene_expression AS proportion FROM ({SUMS}) s
+  JOIN (SELECT gene_id AS ensg, tissue, sum(expression) AS gene_expression FROM ({MEDIAN}) m GROUP BY ALL) g ON g.ensg = s.ensg AND g.tissue = s.tissue WHERE gene_expression > 0"""
+
+
+@query("agg13_expression_proportion", f"""SELECT p.variant_key, p.csq, p.ensg, p.symbol, p.lof, p.lof_flag, round(mean_proportion, 8) AS mean_proportion, tissue, round(proportion, 8) AS proportion
+  FROM ({PEXT}) p LEFT JOIN ({SHARES}) b ON {SAME}""")
 def _(spark, d):
     from genolith.session import durable
     s = durable(summary(spark, d))
     rows = an.expression_proportion(an.variant_expression(_hits(spark, d), s), an.gene_expression(s))
-    return rounded(rows.drop("proportions"), "mean_proportion")
+    return rounded(rows.select(*an.GROUP, "mean_proportion", F.explode_outer("proportions").alias("tissue", "proportion")), "mean_proportion", "proportion")
 
 
 def _annotated(spark, d):
@@ -152,9 +158,10 @@ def _annotated(spark, d):
     return an.annotate_pext(variants(spark, d), durable(summary(spark, d)))
 
 
-@query("joi8_annotated_variants", f"""SELECT v.p_partkey AS variant_key, cast(count(p.variant_key) AS INT) AS n_rows FROM part v LEFT JOIN ({PEXT}) p ON p.variant_key = v.p_partkey GROUP BY v.p_partkey""")
+@query("joi8_annotated_variants", f"""SELECT v.p_partkey AS variant_key, csq, ensg, symbol, lof, round(mean_proportion, 8) AS mean_proportion FROM part v LEFT JOIN ({PEXT}) p ON p.variant_key = v.p_partkey""")
 def _(spark, d):
-    return _annotated(spark, d).select("variant_key", F.coalesce(F.size("tx_annotation"), F.lit(0)).alias("n_rows"))
+    rows = _annotated(spark, d).select("variant_key", F.explode_outer("tx_annotation").alias("a"))
+    return rounded(rows.select("variant_key", "a.csq", "a.ensg", "a.symbol", "a.lof", "a.mean_proportion"), "mean_proportion")
 
 
 @query("joi7_gene_maximum", f"""SELECT s.variant_key, s.ensg, s.csq, s.lof, s.lof_flag, s.tissue, s.expression, g.gene_expression FROM ({SUMS}) s JOIN (SELECT gene_id AS ensg, tissue, sum(expression) AS gene_expression
@@ -163,7 +170,7 @@ def _(spark, d):
     from genolith.session import durable
     s = durable(summary(spark, d))
     sums = an.variant_expression(_hits(spark, d), s)
-    return sums.join(an.gene_expression(s), ["ensg", "tissue"]).select("variant_key", "ensg", "csq", "lof", "lof_flag", "tissue", "expression", "gene_expression")
+    return an.with_gene_expression(sums, an.gene_expression(s)).select("variant_key", "ensg", "csq", "lof", "lof_flag", "tissue", "expression", "gene_expression")
 
 
 @query("flt13_hi_pext", f"SELECT DISTINCT variant_key FROM ({PEXT}) p WHERE mean_proportion > 1e-1")

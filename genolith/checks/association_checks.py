@@ -218,7 +218,12 @@ def _(spark, d):
     return models.models_table(spark, fits).select("model", r("aic", 6).alias("aic"), "n")
 
 
-@query("agg22_fit_summary", "SELECT 'succeeded' AS status, cast(NULL AS VARCHAR) AS error, count(DISTINCT is_female) + 1 AS n FROM fx_samples UNION ALL SELECT 'error', 'singular', count(DISTINCT is_female) - 1 FROM fx_samples")
+# A set of covariates can be fitted if each varies and no two of them are collinear.
+FITTED = f"""SELECT unnest([var_pop(age) > 0, var_pop(age) > 0 AND var_pop(day) > 0 AND abs(corr(age, day)) < 1 - 1e-9, var_pop(sex) > 0,
+  var_pop(age) > 0 AND abs(corr(age, age * 2)) < 1 - 1e-9]) AS ok FROM ({DATA}) d"""
+
+
+@query("agg22_fit_summary", f"SELECT CASE WHEN ok THEN 'succeeded' ELSE 'error' END AS status, CASE WHEN NOT ok THEN 'singular' END AS error, count(*) AS n FROM ({FITTED}) f GROUP BY ALL")
 def _(spark, d):
     data = subjects(spark, d).withColumn("age2", F.col("age") * 2)
     fits = models.fit_models(data, "trait", {"a": ["age"], "b": ["age", "day"], "c": ["sex"], "d": ["age", "age2"]})

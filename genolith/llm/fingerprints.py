@@ -130,24 +130,28 @@ def next_ids(ids: DataFrame) -> DataFrame:
 
 
 def edited_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, next_id, text and edited text of every document.
+    """doc_id, next_id, n_chars, text, edited text and the next document's sketch (``following``) of every document.
 
     The last floor(n / 2) code points give way to the first as many of the next
-    document. Only the piece that is needed of the next text travels.
+    document. A document sends what is needed of its text, and its sketch, to the
+    one before it; both sides of that join are dealt out by the same id, so the
+    texts are shuffled once.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
-    sizes = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max("n_chars").alias("most"))
-    order = next_ids(sizes)
-    # For every document: whose text it continues, and how much of it is wanted at most.
-    wanted = order.join(sizes, "doc_id").select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), F.floor(F.col("most") / 2).alias("need"))
     known = rows.where("doc_id is not null")
-    heads = known.join(wanted, "doc_id").groupBy(F.col("for_id").alias("doc_id"), F.col("doc_id").alias("next_id")).agg(
-        F.min(F.expr("substring(text, 1, cast(need as int))")).alias("head"))
-    joined = known.join(heads, "doc_id").unionByName(rows.where("doc_id is null").withColumns({"next_id": F.lit(None).cast("long"), "head": F.lit("")}))
+    sizes = durable(known.groupBy("doc_id").agg(F.max(F.length("text")).alias("most")))
+    order = next_ids(sizes).join(sizes, "doc_id")
+    # For every document: whose text it continues, and how much of it is wanted at most.
+    wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), F.floor(F.col("most") / 2).cast("int").alias("need"))
+    sent = known.join(wanted, "doc_id").select(
+        "for_id", F.struct(F.expr("substring(text, 1, need)").alias("head"), sketch(F.col("text")).alias("following"), F.col("doc_id").alias("next_id")).alias("sent"))
+    heads = sent.groupBy(F.col("for_id").alias("doc_id")).agg(F.min("sent").alias("sent"))
+    joined = known.join(heads, "doc_id").select("doc_id", "text", "sent.*")
+    alone = rows.where("doc_id is null").select("doc_id", "text", F.lit("").alias("head"), F.lit(None).cast("array<long>").alias("following"), F.lit(None).cast("long").alias("next_id"))
+    both = joined.unionByName(alone).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(F.col("head"), F.lit(1), half))
-    return joined.select("doc_id", "next_id", "n_chars", "text", edited.alias("edited"))
+    return both.select("doc_id", "next_id", "n_chars", "text", edited.alias("edited"), "following")
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
@@ -159,11 +163,9 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     document is its own next one. Extra columns are ignored, an empty table gives no rows.
     """
     texts = edited_texts(docs)
-    prints = durable(texts.select("doc_id", "next_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-                                  sketch(F.col("text")).alias("own"), sketch(F.col("edited")).alias("changed")))
-    following = prints.where("doc_id is not null").groupBy(F.col("doc_id").alias("next_id")).agg(F.min("own").alias("following"))
-    both = prints.where("next_id is not null").join(following, "next_id").unionByName(
-        prints.where("next_id is null").withColumn("following", F.lit(None).cast("array<long>")))
-    return both.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"), as_text(F.col("changed")).alias("edited_fingerprint"),
-                       likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-                       F.when(F.col("following").isNotNull(), likeness(F.col("own"), F.col("following"))).alias("near_next"))
+    prints = F.struct(sketch(F.col("text")).alias("own"), sketch(F.col("edited")).alias("changed"), F.col("following").alias("following"))
+    # A generator, so that each sketch is worked out once.
+    results = F.inline(F.transform(F.array(prints), lambda s: F.struct(
+        as_text(s.own).alias("fingerprint"), as_text(s.changed).alias("edited_fingerprint"), likeness(s.own, s.changed).alias("near_edited"),
+        F.when(s.following.isNotNull(), likeness(s.own, s.following)).alias("near_next"))))
+    return texts.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), results)

@@ -4,8 +4,9 @@ Texts with equal shingle sets form a class. Classes whose signatures agree in a
 band are candidates. A candidate pair's sketches are compared batch by batch and
 dropped as soon as the posterior probability of a similarity at the threshold
 falls below ``MISS``; survivors are confirmed on their full shingle sets. To know
-the components, not all pairs of a large group are looked at: every class meets
-the first of its band groups, and only pairs of different components go on.
+the components, not all pairs of a large group are confirmed: every class meets
+the busiest class of its band groups first; then, round by round, only its
+likeliest partners in other components, a few first and all of them in the end.
 """
 
 from __future__ import annotations
@@ -19,13 +20,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genolith.llm.common import BLOCK_BYTES, blocks, mix, row_key, shingle_hashes, text_or_empty, words_of
-from genolith.llm.graph import components
+from genolith.operators.graph import components
 from genolith.session import durable
 
 BANDS, ROWS = 32, 4
-HASHES = BANDS * ROWS
-#: Hashes compared before each look at the posterior.
-BATCH = 16
+#: Hashes of a sketch; the first BANDS * ROWS make the bands.
+HASHES = 256
+#: Hashes compared when the posterior is looked at: each batch is as large as all before it.
+LOOKS = (16, 32, 64, 128, 256)
 #: Posterior probability of a linked pair below which a pair is dropped.
 MISS = 1e-7
 SHINGLE = 5
@@ -33,6 +35,8 @@ SHINGLE = 5
 LINK_PERCENT = 75
 #: Members of a band group that one comparison block holds.
 BLOCK_MEMBERS = 1024
+#: Partners of other components that a class gets per block in each round; None: all.
+PARTNERS = (1, 4, 16, None)
 
 
 def _factors() -> tuple[np.ndarray, np.ndarray]:
@@ -57,7 +61,7 @@ def least_matches(percent: float = LINK_PERCENT, miss: float = MISS) -> dict[int
     """
     x = percent / 100 + (1 - percent / 100) / 256
     need = {}
-    for m in range(BATCH, HASHES + 1, BATCH):
+    for m in LOOKS:
         tail, s = 0.0, -1
         while tail < miss:
             s += 1
@@ -66,14 +70,18 @@ def least_matches(percent: float = LINK_PERCENT, miss: float = MISS) -> dict[int
     return need
 
 
+NEEDED = least_matches()
+
+
 def surviving(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(positions that survive all batches, their matches) of row-wise sketch pairs."""
-    alive, matches = np.arange(len(left)), np.zeros(len(left), np.int64)
-    for m, need in least_matches().items():
-        part = slice(m - BATCH, m)
-        matches = matches + (left[alive, part] == right[alive, part]).sum(1)
+    alive, matches, done = np.arange(len(left)), np.zeros(len(left), np.int64), 0
+    for m, need in NEEDED.items():
+        matches = matches + np.count_nonzero(left[:, done:m] == right[:, done:m], axis=1)
+        done = m
         keep = matches >= need
-        alive, matches = alive[keep], matches[keep]
+        if not keep.all():
+            alive, matches, left, right = alive[keep], matches[keep], left[keep], right[keep]
     return alive, matches
 
 
@@ -158,40 +166,58 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Surviving (a, b, matches) of different components within each band group.
+def _cross_pairs(members: DataFrame, partners: int | None) -> DataFrame:
+    """(a, b, matches) of different components within each band group that survive the test.
 
-    ``members``: band, node, root, sketch, n (members of the group). Groups are cut into
-    blocks; a task runs through its sorted blocks and compares rows d apart, for
-    all blocks at once, so small groups cost no call of their own and no pair
-    leaves a task before the test.
+    ``members``: band, node, root, size, sketch, n (members of the group). Groups are cut
+    into blocks; a task runs through its sorted blocks and compares rows d apart, for
+    all blocks at once, so small groups cost no call of their own. A pair leaves
+    the task only as one of the ``partners`` likeliest of either end in its block.
+    Sets whose sizes differ too much cannot be linked.
     """
     parts = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
     cut = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    cut = cut.select("band", "node", "root", "sketch", "part", other).select(
-        "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "root", "sketch")
+    cut = cut.select("band", "node", "root", "size", "sketch", "part", other).select(
+        "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "root", "size", "sketch")
+
+    def likeliest(left: np.ndarray, right: np.ndarray, matches: np.ndarray) -> np.ndarray:
+        """Positions of the pairs that are among the best of one of their ends."""
+        if partners is None or not len(left):
+            return np.arange(len(left))
+        chosen = []
+        for own in (left, right):
+            order = np.lexsort((-matches, own))
+            first = np.concatenate([[True], own[order][1:] != own[order][:-1]])
+            place = np.arange(len(order)) - np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+            chosen.append(order[place < partners])
+        return np.unique(np.concatenate(chosen))
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        band, i, j = (rows.column(c).to_numpy() for c in ("band", "i", "j"))
-        node, root = rows.column("node").to_numpy(), rows.column("root").to_numpy()
+        band, i, j, node, root, size = (rows.column(c).to_numpy() for c in ("band", "i", "j", "node", "root", "size"))
         sketch = _sketches(rows.column("sketch").combine_chunks())
-        new = np.concatenate([[True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
-        group = np.cumsum(new)
-        out = []
-        at, d = np.arange(len(node)), 1
+        group = np.cumsum(np.concatenate([[True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        held = [(np.empty(0, np.int64),) * 3]
+        at, d, count = np.arange(len(node)), 1, 0
         while len(at):
             at = at[at + d < len(node)]
             at = at[group[at] == group[at + d]]
-            pairs = at[(root[at] != root[at + d]) & (node[at] != node[at + d])]
-            for s in range(0, len(pairs), 1 << 16):
-                p = pairs[s:s + (1 << 16)]
+            close = 100 * np.minimum(size[at], size[at + d]) >= LINK_PERCENT * np.maximum(size[at], size[at + d])
+            pairs = at[(root[at] != root[at + d]) & (node[at] != node[at + d]) & close]
+            for s in range(0, len(pairs), 1 << 15):
+                p = pairs[s:s + (1 << 15)]
                 alive, matches = surviving(sketch[p], sketch[p + d])
-                a, b = node[p[alive]], node[p[alive] + d]
-                out.append((np.maximum(a, b), np.minimum(a, b), matches))
+                held.append((p[alive], p[alive] + d, matches))
+                count += len(alive)
+            if count > 1 << 18:  # keep no more than what may still be among the best
+                left, right, matches = (np.concatenate([h[k] for h in held]) for k in range(3))
+                best = likeliest(left, right, matches)
+                held, count = [(left[best], right[best], matches[best])], 0
             d += 1
-        columns = [np.concatenate([o[k] for o in out]) if out else np.empty(0, np.int64) for k in range(3)]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "matches"])
+        left, right, matches = (np.concatenate([h[k] for h in held]) for k in range(3))
+        best = likeliest(left, right, matches)
+        a, b = node[left[best]], node[right[best]]
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(matches[best])], ["a", "b", "matches"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -222,37 +248,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     alone. Rows with equal ids are documents of their own; equal rows share a key.
     Null ids never name a component unless it has no other. Extra columns are
     ignored; an empty table gives no rows. A pair at the threshold is missed with
-    probability (1 - 0.75 ** ROWS) ** BANDS (5e-6) by the bands and about MISS a batch by the test.
+    probability (1 - 0.75 ** ROWS) ** BANDS (5e-6) by the bands and about MISS a look by the test.
     """
     rows = docs.select(row_key("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     signed = durable(signatures(rows))
     some = signed.where("n_shingles > 0")
-    classes = durable(some.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("key").alias("key"),
+    classes = durable(some.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("key").alias("key"), F.max("n_shingles").alias("size"),
                                                F.first("sketch").alias("sketch"), F.first("bands").alias("bands")))
     every = classes.select("node", F.explode("bands").alias("band"))
-    groups = every.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1")
+    groups = every.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = durable(every.join(groups, "band"))
 
-    # Every class meets the first of its band groups; its best survivor is confirmed first.
-    met = members.where("node <> hub").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
-    stars = durable(_pruned(_with_sketches(met, classes)))
+    # Every class meets the busiest class of its band groups, which in a group of edited copies is nearest to all.
+    busy = members.groupBy("node").agg(F.sum("n").alias("busy"))
+    hubs = members.join(busy, "node").groupBy("band").agg(F.max(F.struct("busy", "node")).getField("node").alias("hub"))
+    met = members.join(hubs, "band").where("node <> hub").select("node", "hub").distinct()
+    sketched = _pruned(_with_sketches(met.select(F.col("node").alias("a"), F.col("hub").alias("b")), classes))
     first = Window.partitionBy("a").orderBy(F.desc("matches"), "b")
-    chosen = durable(stars.withColumn("place", F.row_number().over(first)).where("place = 1").select("a", "b"))
+    chosen = sketched.withColumn("place", F.row_number().over(first)).where("place = 1")
+    tried = durable(chosen.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
-    # Pairs of different components within the band groups.
     wanted = members.select("node").distinct()
     texts = durable(rows.join(classes.select("key", "node").join(wanted, "node"), "key").groupBy("node").agg(F.first("text").alias("text")))
-    tried, links = chosen, durable(_linked(chosen, texts))
+    links = durable(_linked(tried, texts))
     roots = components(links)
-    crossing = durable(_cross_pairs(_mixed_groups(members, roots, classes)).distinct())
-    for everything in (False, True):
-        left = _between(crossing.join(tried, ["a", "b"], "left_anti"), roots)
-        if not everything:
-            best = Window.partitionBy("root_a", "root_b").orderBy(F.desc("matches"), "a", "b")
-            left = left.withColumn("place", F.row_number().over(best)).where("place = 1")
-        batch = durable(left.select("a", "b"))
+    # Pairs of different components within the band groups, likeliest first.
+    for partners in PARTNERS:
+        crossing = _cross_pairs(_mixed_groups(members, roots, classes), partners).select("a", "b").distinct()
+        batch = durable(crossing.join(tried, ["a", "b"], "left_anti"))
         if batch.isEmpty():
-            break
+            continue
         tried = tried.unionByName(batch)
         links = durable(links.unionByName(_linked(batch, texts)))
         roots = components(links)
@@ -264,18 +289,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _mixed_groups(members: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """band, node, root, sketch and n of the band groups that hold more than one component."""
-    rooted = members.select("band", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = durable(rooted)
+    """band, node, root, size, sketch and n of the band groups that hold more than one component."""
+    rooted = durable(members.select("band", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     several = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
-    return rooted.join(several, "band").join(classes.select("node", "sketch"), "node")
-
-
-def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components, with the components (smaller first)."""
-    a, b = (roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
-    j = pairs.join(a, "a", "left").join(b, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")}).where("ra <> rb")
-    return j.select("a", "b", "matches", F.least("ra", "rb").alias("root_a"), F.greatest("ra", "rb").alias("root_b"))
+    return rooted.join(several, "band").join(classes.select("node", "size", "sketch"), "node")
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:

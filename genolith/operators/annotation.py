@@ -147,6 +147,11 @@ def variant_expression(transcripts: DataFrame, summary: DataFrame) -> DataFrame:
     return sums
 
 
+def with_gene_expression(sums: DataFrame, genes: DataFrame, how: str = "inner") -> DataFrame:
+    """Each sum next to its gene's expression in the tissue."""
+    return sums.join(broadcast_if_small(genes), ["ensg", "tissue"], how)
+
+
 def expression_proportion(sums: DataFrame, genes: DataFrame) -> DataFrame:
     """Share of the gene's expression per tissue and its mean.
 
@@ -154,11 +159,8 @@ def expression_proportion(sums: DataFrame, genes: DataFrame) -> DataFrame:
     data drop out, as do NULL tissues.
     """
     known = genes.select("ensg").distinct()
-    shares = (
-        sums.join(known, "ensg", "left_semi")
-        .join(broadcast_if_small(genes), ["ensg", "tissue"], "left")
-        .withColumn("proportion", F.try_divide("expression", F.col("gene_expression")))
-    )
+    shares = with_gene_expression(sums.join(known, "ensg", "left_semi"), genes, "left").withColumn(
+        "proportion", F.try_divide("expression", F.col("gene_expression")))
     entries = F.collect_list(F.when(F.col("tissue").isNotNull() & F.col("proportion").isNotNull(), F.struct("tissue", "proportion")))
     return shares.groupBy(*GROUP).agg(
         F.map_from_entries(F.array_sort(entries)).alias("proportions"), F.avg("proportion").alias("mean_proportion"))

@@ -289,8 +289,14 @@ def snp_posterior(factors: DataFrame, sums: DataFrame) -> DataFrame:
     return key(factors).join(broadcast_if_small(totals), ["ProbeID", "_r"]).withColumn("SNP_PP_H4", F.exp(F.col("lABF_sum") - F.col("l12"))).drop("_r", "l12")
 
 
+#: Folders of the per-variant output; a probe's rows are in one of them.
+PROBE_PARTS = 64
+
+
 def write_snp_results(factors: DataFrame, sums: DataFrame, path: str) -> None:
-    snp_posterior(factors, sums).write.mode("overwrite").partitionBy("ProbeID").parquet(path)
+    """Per-variant output, sorted by probe within a bounded number of folders."""
+    parted = snp_posterior(factors, sums).withColumn("probe_part", F.pmod(F.xxhash64("ProbeID"), F.lit(PROBE_PARTS)).cast("int"))
+    parted.sortWithinPartitions("probe_part", "ProbeID").write.mode("overwrite").partitionBy("probe_part").parquet(path)
 
 
 # --- genome-wide priors ------------------------------------------------------

@@ -68,25 +68,35 @@ def variant_qc(entries: DataFrame, with_hwe: bool = True) -> DataFrame:
     return stats
 
 
+#: Heterozygote counts worked on at once.
+HWE_CELLS = 2_000_000
+
+
 def _hwe_batch(hom1: pd.Series, het: pd.Series, hom2: pd.Series) -> pd.Series:
     counts = np.stack([np.minimum(hom1, hom2), het, np.maximum(hom1, hom2)], axis=1).astype(np.int64)
     distinct, back = np.unique(counts, axis=0, return_inverse=True)
     limit = int(counts.sum(axis=1).max()) * 2 + 2 if len(counts) else 2
     log_fact = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, limit)))])
+    rare, common, het_ = 2 * distinct[:, 0] + distinct[:, 1], 2 * distinct[:, 2] + distinct[:, 1], distinct[:, 1]
+    sizes = rare // 2 + 1
     result = np.empty(len(distinct))
-    for row, (rare_hom, h, common_hom) in enumerate(distinct):
-        rare, common = 2 * rare_hom + h, 2 * common_hom + h
-        hets = np.arange(rare % 2, rare + 1, 2)
-        log_p = (
-            hets * np.log(2.0)
-            - log_fact[(rare - hets) // 2]
-            - log_fact[hets]
-            - log_fact[(common - hets) // 2]
-        )
-        weight = np.exp(log_p - log_p.max())
-        observed = log_p[(h - rare % 2) // 2]
+    # All possible heterozygote counts of many variants side by side, a bounded number at a time.
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(distinct):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + HWE_CELLS, side="right")))
+        part = slice(first, last)
+        starts = np.concatenate([[0], np.cumsum(sizes[part])[:-1]])
+        owner = np.repeat(np.arange(last - first), sizes[part])
+        r, c = rare[part][owner], common[part][owner]
+        hets = 2 * (np.arange(len(owner)) - starts[owner]) + r % 2
+        log_p = hets * np.log(2.0) - log_fact[(r - hets) // 2] - log_fact[hets] - log_fact[(c - hets) // 2]
+        weight = np.exp(log_p - np.maximum.reduceat(log_p, starts)[owner])
+        observed = log_p[starts + (het_[part] - rare[part] % 2) // 2][owner]
         tie = np.abs(log_p - observed) < 1e-9
-        result[row] = (weight[(log_p < observed) & ~tie].sum() + 0.5 * weight[tie].sum()) / weight.sum()
+        mass = np.where(tie, 0.5 * weight, np.where(log_p < observed, weight, 0.0))
+        result[part] = np.add.reduceat(mass, starts) / np.add.reduceat(weight, starts)
+        first = last
     return pd.Series(result[back.reshape(-1)])
 
 

@@ -9,8 +9,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from genolith.llm import fingerprints, graph, langid, neardup, repeats
+from genolith.llm import fingerprints, langid, neardup, repeats
 from genolith.llm.common import shingle_hashes, word_hashes, words_of
+from genolith.operators import graph
 from tests.llm.brute import jaccard, near_components, shingles, without_repeats, words
 
 
