@@ -19,8 +19,12 @@ def _sides(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(both))
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every distinct (a, b) edge leads from a node of its own to a node that is no edge's start."""
+    ends = edges.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("out")), F.struct(F.col("b").alias("node"), F.lit(0).alias("out")))))
+    uses = ends.groupBy("node").agg(F.sum("out").alias("starts"), F.count(F.lit(1)).alias("n"))
+    # A start has one edge and is no end; an end is never a start.
+    return uses.where((F.col("starts") > 0) & (F.col("n") > 1)).isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,12 +36,10 @@ def components(edges: DataFrame) -> DataFrame:
     number never grows.
     """
     edges = durable(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    before = None
-    while (mark := _mark(edges)) != before:
-        before = mark
+    while not _is_stars(edges):
         sides = _sides(edges)
         least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = durable(sides.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+        large = durable(sides.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b"))
         joined = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
         hooked = joined.select("a", F.col("m").alias("b")).unionByName(joined.select(F.col("b").alias("a"), F.col("m").alias("b")))
         edges = durable(hooked.where("a <> b").distinct())
