@@ -298,11 +298,12 @@ def _by_windows(pieces: DataFrame) -> DataFrame:
 def repeated_spans(rows: DataFrame, most: int = MOST_STRETCHES) -> DataFrame:
     """(key, start, n): runs of windows whose bytes also start elsewhere, for (key, text) rows."""
     every = durable(anchored(rows))
-    often = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor")
+    # What joins by a possibly hot anchor is written first, so that Spark can split the anchor's rows.
+    often = durable(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"))
     shared = durable(every.join(often, "anchor"))
     kinds = durable(shared.groupBy("anchor", "stretch", "n").agg(F.count(F.lit(1)).alias("count"), F.min(F.struct("key", "start")).alias("first")))
     whole = shared.join(kinds.where("count > 1").select("anchor", "stretch", "n"), ["anchor", "stretch", "n"]).select("key", "start", "n")
-    differing = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("count").alias("least")).where("kinds > 1 and least = 1").select("anchor", "kinds")
+    differing = durable(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("count").alias("least")).where("kinds > 1 and least = 1").select("anchor", "kinds"))
     open_ = kinds.join(differing, "anchor").select("first.key", F.struct(F.col("first.start").alias("start"), "n", "anchor", "count", "kinds").alias("s"))
     asked = open_.groupBy("key").agg(F.collect_list("s").alias("asked"))
 
