@@ -36,7 +36,7 @@ LINK_PERCENT = 75
 #: Members of a band group that one comparison block holds.
 BLOCK_MEMBERS = 1024
 #: Partners of other components that a class gets per block in each round; None: all.
-PARTNERS = (1, 4, 16, None)
+PARTNERS = (4, None)
 
 
 def _factors() -> tuple[np.ndarray, np.ndarray]:
@@ -256,12 +256,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = durable(some.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("key").alias("key"), F.max("n_shingles").alias("size"),
                                                F.first("sketch").alias("sketch"), F.first("bands").alias("bands")))
     every = classes.select("node", F.explode("bands").alias("band"))
-    groups = every.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # What joins by a possibly hot key is written first, so that Spark can split the key's rows.
+    groups = durable(every.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     members = durable(every.join(groups, "band"))
 
     # Every class meets the busiest class of its band groups, which in a group of edited copies is nearest to all.
     busy = members.groupBy("node").agg(F.sum("n").alias("busy"))
-    hubs = members.join(busy, "node").groupBy("band").agg(F.max(F.struct("busy", "node")).getField("node").alias("hub"))
+    hubs = durable(members.join(busy, "node").groupBy("band").agg(F.max(F.struct("busy", "node")).getField("node").alias("hub")))
     met = members.join(hubs, "band").where("node <> hub").select("node", "hub").distinct()
     sketched = _pruned(_with_sketches(met.select(F.col("node").alias("a"), F.col("hub").alias("b")), classes))
     first = Window.partitionBy("a").orderBy(F.desc("matches"), "b")
@@ -291,7 +292,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _mixed_groups(members: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     """band, node, root, size, sketch and n of the band groups that hold more than one component."""
     rooted = durable(members.select("band", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    several = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
+    several = durable(rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band"))
     return rooted.join(several, "band").join(classes.select("node", "size", "sketch"), "node")
 
 
