@@ -169,17 +169,18 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _cross_pairs(members: DataFrame, partners: int | None) -> DataFrame:
     """(a, b, matches) of different components within each band group that survive the test.
 
-    ``members``: band, node, root, size, sketch, n (members of the group). Groups are cut
+    ``members``: band, node, root, size, sketch, bands, n (members of the group). Groups are cut
     into blocks; a task runs through its sorted blocks and compares rows d apart, for
     all blocks at once, so small groups cost no call of their own. A pair leaves
     the task only as one of the ``partners`` likeliest of either end in its block.
-    Sets whose sizes differ too much cannot be linked.
+    A pair counts in the first band that it shares only, and sets whose sizes differ
+    too much cannot be linked.
     """
     parts = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
     cut = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    cut = cut.select("band", "node", "root", "size", "sketch", "part", other).select(
-        "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "root", "size", "sketch")
+    cut = cut.select("band", "node", "root", "size", "sketch", "bands", "part", other).select(
+        "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "root", "size", "sketch", "bands")
 
     def likeliest(left: np.ndarray, right: np.ndarray, matches: np.ndarray) -> np.ndarray:
         """Positions of the pairs that are among the best of one of their ends."""
@@ -196,6 +197,7 @@ def _cross_pairs(members: DataFrame, partners: int | None) -> DataFrame:
     def compare(rows: pa.Table) -> pa.RecordBatch:
         band, i, j, node, root, size = (rows.column(c).to_numpy() for c in ("band", "i", "j", "node", "root", "size"))
         sketch = _sketches(rows.column("sketch").combine_chunks())
+        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         group = np.cumsum(np.concatenate([[True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
         held = [(np.empty(0, np.int64),) * 3]
         at, d, count = np.arange(len(node)), 1, 0
@@ -206,6 +208,8 @@ def _cross_pairs(members: DataFrame, partners: int | None) -> DataFrame:
             pairs = at[(root[at] != root[at + d]) & (node[at] != node[at + d]) & close]
             for s in range(0, len(pairs), 1 << 15):
                 p = pairs[s:s + (1 << 15)]
+                first = (bands[p] == bands[p + d]).argmax(1)
+                p = p[bands[p, first] == band[p]]
                 alive, matches = surviving(sketch[p], sketch[p + d])
                 held.append((p[alive], p[alive] + d, matches))
                 count += len(alive)
@@ -290,10 +294,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _mixed_groups(members: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """band, node, root, size, sketch and n of the band groups that hold more than one component."""
+    """band, node, root, size, sketch, bands and n of the band groups that hold more than one component."""
     rooted = durable(members.select("band", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     several = durable(rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band"))
-    return rooted.join(several, "band").join(classes.select("node", "size", "sketch"), "node")
+    return rooted.join(several, "band").join(classes.select("node", "size", "sketch", "bands"), "node")
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:

@@ -119,8 +119,8 @@ def test_blocks_larger_than_a_group_find_the_same_pairs(spark, monkeypatch):
     for i in range(60):
         s = base[i % 12].copy()
         s[rng.integers(0, neardup.HASHES, 8)] ^= 1
-        rows.append((i % 2, i, i, 50, s.tobytes(), 30))
-    frame = spark.createDataFrame(rows, "band long, node long, root long, size long, sketch binary, n long")
+        rows.append((i % 2, i, i, 50, s.tobytes(), [i % 2] * neardup.BANDS, 30))
+    frame = spark.createDataFrame(rows, "band long, node long, root long, size long, sketch binary, bands array<long>, n long")
     want = {(r["a"], r["b"]) for r in neardup._cross_pairs(frame, None).collect()}
     monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 7)
     assert {(r["a"], r["b"]) for r in neardup._cross_pairs(frame, None).collect()} == want and len(want) > 50
