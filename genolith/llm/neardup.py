@@ -180,7 +180,7 @@ def _cross_pairs(members: DataFrame, partners: int | None) -> DataFrame:
     cut = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     cut = cut.select("band", "node", "root", "size", "sketch", "bands", "part", other).select(
-        "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "root", "size", "sketch", "bands")
+        "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "root", "size", "sketch", "bands")
 
     def likeliest(left: np.ndarray, right: np.ndarray, matches: np.ndarray) -> np.ndarray:
         """Positions of the pairs that are among the best of one of their ends."""
@@ -195,7 +195,7 @@ def _cross_pairs(members: DataFrame, partners: int | None) -> DataFrame:
         return np.unique(np.concatenate(chosen))
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        band, i, j, node, root, size = (rows.column(c).to_numpy() for c in ("band", "i", "j", "node", "root", "size"))
+        band, i, j, part, node, root, size = (rows.column(c).to_numpy() for c in ("band", "i", "j", "part", "node", "root", "size"))
         sketch = _sketches(rows.column("sketch").combine_chunks())
         bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         group = np.cumsum(np.concatenate([[True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
@@ -205,7 +205,9 @@ def _cross_pairs(members: DataFrame, partners: int | None) -> DataFrame:
             at = at[at + d < len(node)]
             at = at[group[at] == group[at + d]]
             close = 100 * np.minimum(size[at], size[at + d]) >= LINK_PERCENT * np.maximum(size[at], size[at + d])
-            pairs = at[(root[at] != root[at + d]) & (node[at] != node[at + d]) & close]
+            # Rows of one part meet in the part's own block only.
+            apart = (part[at] != part[at + d]) | (i[at] == j[at])
+            pairs = at[(root[at] != root[at + d]) & (node[at] != node[at + d]) & close & apart]
             for s in range(0, len(pairs), 1 << 15):
                 p = pairs[s:s + (1 << 15)]
                 first = (bands[p] == bands[p + d]).argmax(1)
