@@ -37,7 +37,7 @@ SALTS = 16
 
 
 def _trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, starts): the hashed byte trigrams of each text, white space runs left in, A-Z lower-cased."""
+    """(buckets, starts): the hashed byte trigrams of each text, A-Z lower-cased; those with a digit say nothing and are left out."""
     lowered = pc.ascii_lower(texts).cast(pa.large_binary())
     offsets = np.frombuffer(lowered.buffers()[1], np.int64)[lowered.offset: lowered.offset + len(lowered) + 1]
     data = np.frombuffer(lowered.buffers()[2], np.uint8)[offsets[0]: offsets[-1]] if lowered.buffers()[2] else np.empty(0, np.uint8)
@@ -54,7 +54,10 @@ def _trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     inside[ends[filled] - 1] = False
     inside[np.maximum(ends - 2, starts[:-1])[filled]] = False
     # The last two places of a text start no trigram; in a shorter text no place does.
-    return bucket[inside[: len(bucket)]], np.concatenate([[0], np.cumsum(n)])
+    digit = (data >= 48) & (data <= 57)
+    inside = inside[: len(bucket)] & ~(digit[:-2] | digit[1:-1] | digit[2:])
+    before = np.concatenate([[0], np.cumsum(inside)])
+    return bucket[inside], before[np.minimum(starts, len(bucket))]
 
 
 def base_language(declared: Column) -> Column:

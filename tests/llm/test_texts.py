@@ -218,6 +218,7 @@ def test_evidence_decides_where_the_text_does_not(spark, docs):
     rows += [(10 + i, text["de"], None, None, "host-de", "d") for i in range(40)]
     rows += [(100, "a", "fr", None, None, None), (101, text["en"], "fr", None, None, None), (102, "", "en", None, None, None)]
     rows += [(200 + i, text["es"], "es", "es", None, None) for i in range(30)] + [(300, "b", None, "es", None, None)]
+    rows += [(400 + i, text["en"], None, "com", None, None) for i in range(30)]
     frame = spark.createDataFrame(rows, "key long, text string, declared string, suffix string, host string, domain string")
     got = {r["key"]: r for r in langid.identify(frame, model, ["key"]).collect()}
     assert got[0]["language"] == "de" and got[101]["language"] == "en" and got[300]["language"] == "es"
