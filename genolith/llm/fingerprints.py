@@ -137,17 +137,20 @@ def edited_texts(docs: DataFrame) -> DataFrame:
     one before it; both sides of that join are dealt out by the same id, so the
     texts are shuffled once.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    known = rows.where("doc_id is not null")
-    sizes = durable(known.groupBy("doc_id").agg(F.max(F.length("text")).alias("most")))
+    # Either side names its columns anew, so that both are the same rows to the planner and one shuffle serves both.
+    def named(column: str) -> DataFrame:
+        return docs.select(F.col("doc_id").cast("long").alias(column), text_or_empty().alias("text")).where(F.col(column).isNotNull())
+
+    sizes = durable(named("doc").groupBy("doc").agg(F.max(F.length("text")).alias("most")).withColumnRenamed("doc", "doc_id"))
     order = next_ids(sizes).join(sizes, "doc_id")
     # For every document: whose text it continues, and how much of it is wanted at most.
-    wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), F.floor(F.col("most") / 2).cast("int").alias("need"))
-    sent = known.join(wanted, "doc_id").select(
-        "for_id", F.struct(F.expr("substring(text, 1, need)").alias("head"), sketch(F.col("text")).alias("following"), F.col("doc_id").alias("next_id")).alias("sent"))
-    heads = sent.groupBy(F.col("for_id").alias("doc_id")).agg(F.min("sent").alias("sent"))
-    joined = known.join(heads, "doc_id").select("doc_id", "text", "sent.*")
-    alone = rows.where("doc_id is null").select("doc_id", "text", F.lit("").alias("head"), F.lit(None).cast("array<long>").alias("following"), F.lit(None).cast("long").alias("next_id"))
+    wanted = order.select(F.col("next_id").alias("other"), F.col("doc_id").alias("for_id"), F.floor(F.col("most") / 2).cast("int").alias("need"))
+    sent = named("other").join(wanted, "other").select(
+        "for_id", F.struct(F.expr("substring(text, 1, need)").alias("head"), sketch(F.col("text")).alias("following"), F.col("other").alias("next_id")).alias("sent"))
+    heads = sent.groupBy(F.col("for_id").alias("own")).agg(F.min("sent").alias("sent"))
+    joined = named("own").join(heads, "own").select(F.col("own").alias("doc_id"), "text", "sent.*")
+    alone = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("doc_id"), text_or_empty().alias("text"), F.lit("").alias("head"),
+                                                F.lit(None).cast("array<long>").alias("following"), F.lit(None).cast("long").alias("next_id"))
     both = joined.unionByName(alone).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(F.col("head"), F.lit(1), half))
