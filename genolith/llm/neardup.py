@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from genolith.llm.common import BLOCK_BYTES, blocks, mix, row_key, shingle_hashes, text_or_empty, words_of
+from genolith.llm.common import BLOCK_BYTES, WORD, blocks, mix, row_key, shingle_hashes, text_or_empty, words_of
 from genolith.operators.graph import components
 from genolith.session import durable
 
@@ -256,6 +256,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ignored; an empty table gives no rows. A pair at the threshold is missed with
     probability (1 - 0.75 ** ROWS) ** BANDS (5e-6) by the bands and about MISS a look by the test.
     """
+    return _rooted_duplicates(docs).drop("root")
+
+
+def _rooted_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``near_duplicates`` with the root of their component, a node (null without words): two components may carry one id."""
     rows = docs.select(row_key("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     signed = durable(signatures(rows))
     some = signed.where("n_shingles > 0")
@@ -289,9 +294,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = durable(links.unionByName(_linked(batch, texts)))
         roots = components(links)
     rooted = classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("node", "component_id")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("node", "root", "component_id")
     grouped = some.select("key", "doc_id", "n_shingles", "node").join(named, "node").drop("node")
-    alone = signed.where("n_shingles = 0").select("key", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    nothing = F.lit(None).cast("long")
+    alone = signed.where("n_shingles = 0").select("key", "doc_id", "n_shingles", nothing.alias("root"), F.col("doc_id").alias("component_id"))
     return grouped.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -303,9 +309,13 @@ def _mixed_groups(members: DataFrame, roots: DataFrame, classes: DataFrame) -> D
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept; of repeated kept ids in a component the smallest text stays once."""
-    found = near_duplicates(docs).where("kept").select(F.col("key").alias("__key"), F.col("component_id").alias("__component"), "n_shingles")
-    lone = found.where("n_shingles = 0").select("__key").distinct()
-    first = found.where("n_shingles > 0").groupBy("__component").agg(F.min("__key").alias("__key")).select("__key")
-    keyed = docs.withColumn("__key", row_key("doc_id", "text")).join(first.unionByName(lone).distinct(), "__key")
-    return keyed.dropDuplicates(["__key"]).drop("__key")
+    """One row of every component: that of its least id, null ids last, and of its smallest key.
+
+    Rows without words are near nothing and all stay, equal ones too.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    found = _rooted_duplicates(docs).where("root is not null")
+    first = found.groupBy("root").agg(F.min(order).getField("key").alias("__key")).select("__key")
+    worded = text_or_empty().rlike(WORD)
+    keyed = docs.where(worded).withColumn("__key", row_key("doc_id", "text")).join(first, "__key")
+    return keyed.dropDuplicates(["__key"]).drop("__key").unionByName(docs.where(~worded))

@@ -112,6 +112,17 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert ids == [-1, 0, 3, 4, 5, 6, 7, 8, 9, 12]
 
 
+def test_components_that_share_an_id_or_have_none_keep_a_row_each(spark):
+    text = lambda w, n=40: " ".join(f"{w}{i}" for i in range(n))
+    rows = [(None, text("a"), "s"), (None, text("b"), "s"), (None, text("b") + " more", "s"), (7, text("c"), "s"), (7, text("d"), "s"), (8, text("d"), "s"),
+            (None, text("e"), "s"), (9, text("e"), "s"), (3, " ", "x"), (3, " ", "y"), (3, " ", "y"), (None, None, "x"), (None, None, "y"), (None, "", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [tuple(r) for r in neardup.without_near_duplicates(frame).collect()]
+    of_b = [r for r in kept if r[1] and r[1].startswith("b0")]
+    assert len(of_b) == 1 and of_b[0] in rows
+    assert sorted(map(repr, [r for r in kept if r not in of_b])) == sorted(map(repr, [rows[0], rows[3], rows[4], rows[7], *rows[8:]]))
+
+
 def test_blocks_larger_than_a_group_find_the_same_pairs(spark, monkeypatch):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 256, (12, neardup.HASHES), dtype=np.uint8)
