@@ -2,15 +2,17 @@
 
 Documents become token pieces of at most ``capacity`` ids; only longer ones are
 cut. The pieces are packed group by group: best fit decreasing first, then a
-local search over the underfull sequences that moves one piece, exchanges one
-for one or two for one as long as the sum of squared fills grows, so that the
-emptiest sequences lose their pieces and vanish. The sequences that stay
-underfull are dealt into fewer groups and packed again, until one group holds
-what is left. Only (key, length) rows travel; ids stay in their table.
+local search over all underfull sequences that moves one piece, exchanges one
+for one or two for one as long as that fills the partner better, so that the
+emptiest sequences lose their pieces and vanish; partners are looked up by free
+room and piece lengths. The sequences that stay underfull are dealt into other
+groups and packed again, until one group holds what is left or a round makes no
+fewer sequences. Only (key, length) rows travel; ids stay in their table.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import zlib
 from collections.abc import Iterator
@@ -215,104 +217,141 @@ def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
+class _Partners:
+    """Underfull bins by what they can take.
+
+    A bin with room r that gives up pieces of together d (none, one or two) takes a piece
+    of size s if d < s <= d + r, and is left with d + r - s. ``heaps[d + r]`` holds (d, bin,
+    version, pieces); entries of earlier versions of a bin are dropped when they come up.
+    """
+
+    def __init__(self, capacity: int):
+        self.heaps: list[list[tuple[int, int, int, tuple[int, ...]]]] = [[] for _ in range(capacity + 1)]
+        # No entry of a heap gives up less than this.
+        self.least = np.full(capacity + 1, capacity + 1)
+        self.version: dict[int, int] = {}
+
+    def drop(self, b: int) -> None:
+        self.version[b] = self.version.get(b, 0) + 1
+
+    def put(self, b: int, content: list[int], size: list[int], room: int) -> None:
+        self.drop(b)
+        if room <= 0:
+            return
+        kinds: dict[int, list[int]] = {}
+        for i in content:
+            kinds.setdefault(size[i], []).append(i)
+        out: dict[int, tuple[int, ...]] = {0: ()}
+        sizes = list(kinds)
+        for x in sizes:
+            out[x] = (kinds[x][0],)
+        for k, x in enumerate(sizes):
+            if len(kinds[x]) > 1:
+                out.setdefault(2 * x, (kinds[x][0], kinds[x][1]))
+            for y in sizes[k + 1:]:
+                out.setdefault(x + y, (kinds[x][0], kinds[y][0]))
+        for d, pieces in out.items():
+            heapq.heappush(self.heaps[d + room], (d, b, self.version[b], pieces))
+            if d < self.least[d + room]:
+                self.least[d + room] = d
+
+    def find(self, n: int) -> tuple[int, tuple[int, ...]] | None:
+        """(bin, pieces it gives up) that a piece of size ``n`` fills best."""
+        for v in (np.flatnonzero(self.least[n:] < n) + n).tolist():
+            heap = self.heaps[v]
+            while heap and self.version[heap[0][1]] != heap[0][2]:
+                heapq.heappop(heap)
+            self.least[v] = heap[0][0] if heap else len(self.least)
+            if heap and heap[0][0] < n:
+                return heap[0][1], heap[0][3]
+        return None
+
+
 def improve(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
     """Local search over the underfull bins; returns the bins of the items.
 
-    A bin is emptied, emptiest first: each of its pieces goes to the fullest bin
-    with room (move), or replaces a shorter piece (one for one) or two shorter
-    pieces (two for one) of a bin that it fills better. Every step raises the sum
-    of squared fills over the other bins, so the search ends; a bin whose pieces
-    all leave is gone, and the displaced pieces come back to the bin being emptied.
+    A bin is emptied, emptiest first: each of its pieces goes to the bin that it
+    fills best, by a move or in exchange for one or two pieces that are together
+    shorter. Every step adds to what the other bins hold, so the search ends; a bin
+    whose pieces all leave is gone, and the displaced pieces come back to the bin
+    being emptied. All underfull bins are gone through until that empties none.
     """
     content: dict[int, list[int]] = {}
     for i, b in enumerate(bins.tolist()):
         content.setdefault(b, []).append(i)
     size = lengths.tolist()
     fill = {b: sum(size[i] for i in c) for b, c in content.items()}
-    under = sorted((b for b in content if fill[b] < capacity), key=lambda b: (fill[b], b))
-    gone: set[int] = set()
-    for source in under:
-        if sum(capacity - fill[b] for b in under if b not in gone) < capacity:
-            break  # what is free in all of them together is less than a sequence
-        active = True
-        while active and content[source]:
-            active = False
-            for i in sorted(content[source], key=lambda i: -size[i]):
-                best = None  # (left room, bin, displaced items)
-                for b in under:
-                    if b == source or b in gone:
-                        continue
-                    room = capacity - fill[b]
-                    if room <= 0:
-                        continue
-                    if size[i] <= room:
-                        best = min(best or (capacity, 0, ()), (room - size[i], b, ()))
-                        continue
-                    # Displaced pieces are together shorter than the piece, by at most the room.
-                    low = size[i] - room
-                    own = sorted(content[b], key=lambda k: size[k])
-                    sizes = [size[k] for k in own]
-                    at = int(np.searchsorted(sizes, low))
-                    if at < len(own) and sizes[at] < size[i]:
-                        best = min(best or (capacity, 0, ()), (room - size[i] + sizes[at], b, (own[at],)))
-                    a, z = 0, len(own) - 1
-                    while a < z:
-                        both = sizes[a] + sizes[z]
-                        if both >= size[i]:
-                            z -= 1
-                        elif both < low:
-                            a += 1
-                        else:
-                            best = min(best or (capacity, 0, ()), (room - size[i] + both, b, (own[a], own[z])))
-                            z -= 1
-                    if best and best[0] == 0:
-                        break
-                if best is None:
-                    continue
-                _, b, out = best
-                content[source].remove(i)
-                content[b].append(i)
-                for k in out:
-                    content[b].remove(k)
-                    content[source].append(k)
-                change = size[i] - sum(size[k] for k in out)
-                fill[b] += change
-                fill[source] -= change
-                active = True
+    least = -(-sum(size) // capacity)
+    partners = _Partners(capacity)
+    for b, c in content.items():
+        partners.put(b, c, size, capacity - fill[b])
+    before = len(content) + 1
+    while least < len(content) < before:
+        before = len(content)
+        for source in sorted((b for b in content if fill[b] < capacity), key=lambda b: (fill[b], b)):
+            if len(content) == least:
                 break
-        if not content[source]:
-            gone.add(source)
+            if fill[source] == capacity:
+                continue  # filled up meanwhile
+            partners.drop(source)
+            own = content[source]
+            active = True
+            while active and own:
+                active = False
+                for i in sorted(own, key=lambda i: -size[i]):
+                    found = partners.find(size[i])
+                    if found is None:
+                        continue
+                    b, out = found
+                    own.remove(i)
+                    own.extend(out)
+                    content[b] = [k for k in content[b] if k not in out] + [i]
+                    change = size[i] - sum(size[k] for k in out)
+                    fill[b] += change
+                    fill[source] -= change
+                    partners.put(b, content[b], size, capacity - fill[b])
+                    active = True
+                    break
+            if own:
+                partners.put(source, own, size, capacity - fill[source])
+            else:
+                del content[source]
     result = np.empty(len(lengths), np.int64)
     for b, c in content.items():
         result[c] = b
     return result
 
 
-def pack_group(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
-    """Bins of the items of one group."""
+def pack_group(lengths: np.ndarray, capacity: int = CAPACITY, given: np.ndarray | None = None) -> np.ndarray:
+    """Bins of the items of one group, never more than the ``given`` ones."""
+    least = -(-int(lengths.sum()) // capacity)
     bins = best_fit(lengths, capacity)
-    fills = np.bincount(bins, lengths)
-    if len(fills) > -(-int(lengths.sum()) // capacity):
-        # The search looks at every underfull bin for every piece, so it works on the emptiest ones and some partners.
-        order = np.argsort(fills)
-        chosen = set(order[fills[order] < capacity][:128].tolist())
-        take = np.flatnonzero(np.isin(bins, list(chosen)))
-        bins[take] = improve(lengths[take], bins[take], capacity)
+    if bins.max(initial=-1) + 1 > least:
+        bins = improve(lengths, bins, capacity)
+        if given is not None and len(np.unique(bins)) > least:
+            bins = min(bins, improve(lengths, given, capacity), key=lambda b: len(np.unique(b)))
     return bins
 
 
 def _pack_round(items: DataFrame, groups: int, number: int, capacity: int) -> DataFrame:
-    """Pack (item, length) in ``groups`` groups; adds seq (unique in the round) and fill."""
+    """Pack (item, length) in ``groups`` groups; adds seq (unique over the rounds), fill, and head (1 in one row of each sequence, else 0).
+
+    Items that have a seq come with their whole sequence, so that no group ends with more of them.
+    """
+    again = "seq" in items.columns
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "item"], ascending=[False, True], kind="stable", ignore_index=True)
         lengths = frame["length"].to_numpy()
-        bins = np.unique(pack_group(lengths, capacity), return_inverse=True)[1].astype(np.int64)
+        _, heads, bins = np.unique(pack_group(lengths, capacity, frame["seq"].to_numpy() if again else None), return_index=True, return_inverse=True)
+        bins = bins.astype(np.int64)
         fill = np.bincount(bins, lengths).astype(np.int64)
-        return pd.DataFrame({"item": frame["item"], "length": lengths, "seq": (np.int64(number) << 54) + (frame["grp"].to_numpy() << 26) + bins, "fill": fill[bins]})
+        head = np.zeros(len(bins), np.int32)
+        head[heads] = 1
+        return pd.DataFrame({"item": frame["item"], "length": lengths, "seq": (np.int64(number) << 50) + (frame["grp"].to_numpy() << 22) + bins, "fill": fill[bins], "head": head})
 
-    keyed = items.withColumn("grp", F.pmod(F.xxhash64("item", F.lit(number)), F.lit(groups)).cast("long"))
-    return keyed.groupBy("grp").applyInPandas(run, "item long, length long, seq long, fill long")
+    keyed = items.withColumn("grp", F.pmod(F.xxhash64("seq" if again else "item", F.lit(number)), F.lit(groups)).cast("long"))
+    return keyed.groupBy("grp").applyInPandas(run, "item long, length long, seq long, fill long, head int")
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
@@ -320,29 +359,26 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
 
     Returns item, length, sequence_id and offset. Full items stand alone. Every
     round packs groups of about ``group`` items and keeps the well-filled
-    sequences; the others are packed again in fewer groups until one group holds them.
+    sequences; the others are packed again in other groups, until one group holds
+    them or that makes no fewer sequences of them.
     """
     full = items.where(F.col("length") >= capacity).select("item", "length", F.col("item").alias("seq"))
     full = full.withColumn("seq", -F.col("item") - 1)
     rest = items.where(F.col("length") < capacity).select("item", "length")
     done = [full]
     number = 0
-    left = rest.count()
+    left, sequences = rest.count(), None
+    settled = F.col("fill") >= SETTLED * capacity
     while left:
         number += 1
         groups = -(-left // group)
         packed = durable(_pack_round(rest, groups, number, capacity))
-        if groups == 1:
+        made, still, left = packed.agg(F.sum("head"), F.sum(F.when(~settled, F.col("head")).otherwise(0)), F.count_if(~settled)).first()
+        if groups == 1 or made == sequences:
             done.append(packed.select("item", "length", "seq"))
             break
-        settled = F.col("fill") >= SETTLED * capacity
         done.append(packed.where(settled).select("item", "length", "seq"))
-        rest = packed.where(~settled).select("item", "length")
-        before, left = left, rest.count()
-        if left > 0.8 * before:
-            # Most sequences cannot be filled (pieces of over half the capacity): keep this round's packing whole.
-            done[-1] = packed.select("item", "length", "seq")
-            break
+        rest, sequences = packed.where(~settled).select("item", "length", "seq"), still
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

@@ -79,6 +79,26 @@ def test_local_search_empties_a_sequence():
     assert np.bincount(packing.pack_group(lengths, capacity), lengths).max() <= capacity
 
 
+def test_local_search_takes_all_underfull_sequences():
+    """Nearly all of some 500 sequences stay underfull, more than any block of 128 of them can mend."""
+    lengths = np.random.default_rng(0).integers(400, 900, 1500)
+    first, after = packing.best_fit(lengths, 2048), packing.pack_group(lengths, 2048)
+    fills = np.bincount(np.unique(after, return_inverse=True)[1], lengths)
+    assert fills.max() <= 2048 and fills.sum() == lengths.sum()
+    assert len(fills) <= len(set(first.tolist())) - 12
+
+
+def test_underfull_sequences_meet_those_of_other_groups(spark):
+    """A first round settles hardly a sequence; one after another empties some."""
+    items = [(i, int(n)) for i, n in enumerate(np.random.default_rng(0).integers(300, 1500, 600))]
+    rows = packing.pack(spark.createDataFrame(items, "item long, length long"), group=60).collect()
+    fills = Counter()
+    for r in rows:
+        fills[r["sequence_id"]] += r["length"]
+    assert sorted((r["item"], r["length"]) for r in rows) == items and max(fills.values()) <= 2048
+    assert len(fills) <= 280
+
+
 def test_packing_in_several_rounds(spark):
     rng = np.random.default_rng(1)
     items = [(i, int(n)) for i, n in enumerate(rng.integers(1, 2049, 900))]
