@@ -23,8 +23,10 @@ from genolith.llm.common import blocks, row_key, text_or_empty
 from genolith.session import durable
 
 BUCKETS = 1 << 15
-#: Languages (most frequent labels), and suffixes that have probabilities of their own.
-MOST_LANGUAGES, MOST_SUFFIXES = 64, 512
+#: Suffixes that have probabilities of their own.
+MOST_SUFFIXES = 512
+#: Languages whose trigram weights a task unfolds at once, and (row, language) cells that it works on at once.
+LANGUAGE_BLOCK, CELLS = 64, 1 << 21
 UNKNOWN = "und"
 UNKNOWN_PRIOR = 0.01
 #: Trigrams that a text counts for at most, and how many overlapping ones make one independent observation.
@@ -68,42 +70,84 @@ def base_language(declared: Column) -> Column:
 
 @dataclass
 class TextModel:
-    """Languages (the last is UNKNOWN) and log probabilities of the trigram buckets."""
+    """Languages (the last is UNKNOWN), their shares, and log probabilities of the trigram buckets.
+
+    Language c has ``weights[starts[c]:starts[c + 1]]`` at its ``buckets`` and ``absent[c]`` at all others.
+    """
 
     languages: list[str]
+    starts: np.ndarray
+    buckets: np.ndarray
     weights: np.ndarray
+    absent: np.ndarray
     shares: np.ndarray
 
+    def table(self, first: int) -> np.ndarray:
+        """Weights of all buckets (rows) for LANGUAGE_BLOCK languages from ``first`` on."""
+        last = min(first + LANGUAGE_BLOCK, len(self.languages))
+        out = np.empty((BUCKETS, last - first))
+        out[:] = self.absent[first:last]
+        a, z = self.starts[first], self.starts[last]
+        out[self.buckets[a:z], np.repeat(np.arange(last - first), np.diff(self.starts[first:last + 1]))] = self.weights[a:z]
+        return out
+
+
+def _slices(batch: pa.RecordBatch, languages: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most CELLS cells."""
+    step = max(1, CELLS // languages)
+    for i in range(0, batch.num_rows, step):
+        yield batch.slice(i, step)
+
 
 def train(docs: DataFrame, text: str = "text", label: str = "lang") -> TextModel:
-    """Trigram counts of every labelled text, added up per language; rows without label or text add nothing."""
+    """Trigram counts of every labelled text, added up per language; rows without label or text add nothing.
+
+    Every label is a language. Only the (language, bucket) cells that occur reach the driver.
+    """
     rows = docs.select(base_language(F.col(label)).alias("label"), text_or_empty(text).alias("text")).where("label is not null")
-    found = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES).collect()
-    names = sorted(r["label"] for r in found if r["label"] != UNKNOWN)
-    sizes = {r["label"]: r["count"] for r in found}
+    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    names = sorted(name for name in sizes if name != UNKNOWN)
     code = {name: i for i, name in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(names) * BUCKETS, np.int64)
+        sums: dict[int, np.ndarray] = {}
+
+        def flushed() -> pa.RecordBatch:
+            cells = [(c * BUCKETS + np.flatnonzero(counts), counts[counts > 0]) for c, counts in sums.items()]
+            sums.clear()
+            found = [np.concatenate([x[k] for x in cells]) if cells else np.empty(0, np.int64) for k in range(2)]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["cell", "n"])
+
         for block in blocks(batches, "text"):
             bucket, starts = _trigrams(block.column("text"))
             own = np.array([code.get(x, -1) for x in block.column("label").to_pylist()], np.int64)
             where = np.repeat(own, np.diff(starts))
-            keep = where >= 0
-            sums += np.bincount(where[keep] * BUCKETS + bucket[keep], minlength=len(sums))
-        cells = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums[cells])], ["cell", "n"])
-
-    weights = np.full((len(names) + 1, BUCKETS), -np.log(BUCKETS))
+            present, local = np.unique(own, return_inverse=True)
+            local = np.repeat(local, np.diff(starts))
+            for first in range(0, len(present), LANGUAGE_BLOCK):
+                some = present[first:first + LANGUAGE_BLOCK]
+                hit = (where >= 0) & (local >= first) & (local < first + len(some))
+                counts = np.bincount((local[hit] - first) * BUCKETS + bucket[hit], minlength=len(some) * BUCKETS).reshape(len(some), BUCKETS)
+                for c, n in zip(some.tolist(), counts):
+                    if c >= 0:
+                        sums[c] = sums[c] + n if c in sums else n
+                if len(sums) > LANGUAGE_BLOCK:
+                    yield flushed()
+        yield flushed()
+
+    cells, n = np.empty(0, np.int64), np.empty(0, np.int64)
     if names:
         table = rows.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-        counts = np.zeros(len(names) * BUCKETS)
-        counts[table["cell"].to_numpy()] = table["n"].to_numpy()
-        counts = counts.reshape(len(names), BUCKETS) + SMOOTHING
-        weights[:-1] = np.log(counts / counts.sum(1, keepdims=True))
-    shares = np.array([sizes[n] for n in names], float)
+        cells, n = table["cell"].to_numpy(), table["n"].to_numpy()
+        order = np.argsort(cells)
+        cells, n = cells[order], n[order]
+    own = cells // BUCKETS
+    totals = np.bincount(own, n, minlength=len(names)) + SMOOTHING * BUCKETS
+    starts = np.searchsorted(own, np.arange(len(names) + 2))
+    absent = np.append(np.log(SMOOTHING / totals), -np.log(BUCKETS))
+    shares = np.array([sizes[x] for x in names], float)
     shares = np.append(shares / max(shares.sum(), 1.0) * (1 - UNKNOWN_PRIOR), UNKNOWN_PRIOR)
-    return TextModel([*names, UNKNOWN], weights, shares / shares.sum())
+    return TextModel([*names, UNKNOWN], starts, (cells % BUCKETS).astype(np.int32), np.log((n + SMOOTHING) / totals[own]), absent, shares / shares.sum())
 
 
 CAPTURE_COLUMNS = ["key", "declared", "suffix", "host", "domain"]
@@ -115,38 +159,59 @@ def text_evidence(captures: DataFrame, model: TextModel, keep: list[str]) -> Dat
     fields = ", ".join(f"`{k}` {captures.schema[k].dataType.simpleString()}" for k in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = np.ascontiguousarray(sent.value.weights.T)
-        prior = np.log(sent.value.shares)
-        for block in blocks(batches, "text"):
+        model = sent.value
+        prior, size = np.log(model.shares), len(model.languages)
+        kept = model.table(0) if size <= LANGUAGE_BLOCK else None
+        for block in (part for whole in blocks(batches, "text") for part in _slices(whole, size)):
             texts = block.column("text")
             bucket, starts = _trigrams(texts)
             n = np.diff(starts)
-            sums = np.zeros((len(n), weights.shape[1]))
+            sums = np.zeros((len(n), size))
             some = np.flatnonzero(n)
-            if len(some):
+            for first in range(0, size if len(some) else 0, LANGUAGE_BLOCK):
+                weights = model.table(first) if kept is None else kept
                 for c in range(weights.shape[1]):
-                    sums[some, c] = np.add.reduceat(weights[bucket, c], starts[:-1][some])
+                    sums[some, first + c] = np.add.reduceat(weights[bucket, c], starts[:-1][some])
             scale = np.minimum(n, MOST_TRIGRAMS) / np.maximum(n, 1) / OVERLAP
             loglik = sums * scale[:, None]
             best = (loglik + prior).argmax(1)
             letters = pc.match_substring_regex(texts, r"\p{L}")
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * weights.shape[1], pa.int32()), pa.array(loglik.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * size, pa.int32()), pa.array(loglik.ravel()))
             yield pa.RecordBatch.from_arrays([*(block.column(k) for k in keep), pa.array(n), letters, lists, pa.array(best, pa.int32())],
                                              [*keep, "trigrams", "letters", "loglik", "best"])
 
     return captures.mapInArrow(run, f"{fields}, trigrams long, letters boolean, loglik array<double>, best int")
 
 
-def _table(rows: DataFrame, column: str, values: list[str], languages: int) -> dict[str | None, np.ndarray]:
-    """log P(value | language) for the listed values and for all others together (None)."""
-    value = F.when(F.col(column).isin(values), F.col(column)) if values else F.lit(None).cast("string")
-    counts = rows.where(F.col(column).isNotNull()).groupBy(value.alias("value"), "best").count().collect()
-    table = {v: np.full(languages, EVIDENCE_SMOOTHING) for v in [*values, None]}
-    for r in counts:
-        table[r["value"]][r["best"]] += r["count"]
-    total = sum(table.values())
-    # An undetermined text says nothing about what is declared.
-    return {v: np.append(np.log(t / total)[:-1], -np.log(len(table))) for v, t in table.items()}
+@dataclass
+class Evidence:
+    """log P(value | language) of the listed values and of all others together (None); only counts above zero are held."""
+
+    counts: dict[str | None, tuple[list[int], list[int]]]
+    totals: np.ndarray
+
+    def row(self, value: str | None) -> np.ndarray:
+        which, n = self.counts.get(value, self.counts[None])
+        seen = np.full(len(self.totals), EVIDENCE_SMOOTHING)
+        seen[which] += n
+        out = np.log(seen / self.totals)
+        # An undetermined text says nothing about what is declared.
+        out[-1] = -np.log(len(self.counts))
+        return out
+
+
+def _table(rows: DataFrame, column: str, values: list[str], languages: int) -> Evidence:
+    listed = rows.sparkSession.createDataFrame([(v,) for v in values], "value string")
+    found = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("name"), "best").count()
+    found = found.join(F.broadcast(listed), F.col("name") == F.col("value"), "left").groupBy("value", "best").agg(F.sum("count").alias("n")).collect()
+    counts: dict[str | None, tuple[list[int], list[int]]] = {v: ([], []) for v in [*values, None]}
+    totals = np.full(languages, EVIDENCE_SMOOTHING * len(counts))
+    for r in found:
+        which, n = counts[r["value"]]
+        which.append(r["best"])
+        n.append(r["n"])
+        totals[r["best"]] += r["n"]
+    return Evidence(counts, totals)
 
 
 def identify(captures: DataFrame, model: TextModel, keep: list[str]) -> DataFrame:
@@ -163,10 +228,17 @@ def identify(captures: DataFrame, model: TextModel, keep: list[str]) -> DataFram
     declared = _table(scored, "declared", names[:-1], n)
     common = [r["suffix"] for r in scored.where("suffix is not null").groupBy("suffix").count().orderBy(F.desc("count"), "suffix").limit(MOST_SUFFIXES).collect()]
     suffixes = _table(scored, "suffix", common, n)
-    votes = [F.count_if(F.col("best") == i).cast("double").alias(f"v{i}") for i in range(n)]
-    hosts = durable(scored.where("host is not null").groupBy("host", "domain").agg(*votes))
-    domains = hosts.groupBy(F.col("domain").alias("m")).agg(*[F.sum(f"v{i}").alias(f"d{i}") for i in range(n)])
-    both = hosts.join(domains, F.col("domain").eqNullSafe(F.col("m"))).select(F.col("host").alias("h"), "m", F.array(*[f"v{i}" for i in range(n)]).alias("host_votes"), F.array(*[f"d{i}" for i in range(n)]).alias("domain_votes"))
+
+    def dense(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+        """``keys`` and the votes of all languages, zeros too."""
+        votes = rows.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("votes"))
+        every = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.element_at("votes", i), F.lit(0)).cast("double"))
+        return votes.select(*keys, every.alias(name))
+
+    hosts = durable(scored.where("host is not null").groupBy("host", "domain", "best").agg(F.count(F.lit(1)).alias("n")))
+    domains = dense(hosts.groupBy("domain", "best").agg(F.sum("n").alias("n")), ["domain"], "domain_votes").withColumnRenamed("domain", "m")
+    by_host = dense(hosts, ["host", "domain"], "host_votes").withColumnRenamed("host", "h")
+    both = by_host.join(domains, F.col("domain").eqNullSafe(F.col("m"))).select("h", "m", "host_votes", "domain_votes")
     copies = both.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = scored.withColumn("salt", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(SALTS)).cast("int"))
     salted = salted.withColumn("part", F.coalesce("host", F.concat(F.lit("\x00"), F.col("key").cast("string"))))
@@ -176,12 +248,10 @@ def identify(captures: DataFrame, model: TextModel, keep: list[str]) -> DataFram
     fields = ", ".join(f"`{k}` {captures.schema[k].dataType.simpleString()}" for k in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        eye = np.eye(n)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in _slices(whole, n)):
             loglik = np.array(batch.column("loglik").to_pylist())
-            own = eye[batch.column("best").to_numpy()]
+            own = np.zeros((batch.num_rows, n))
+            own[np.arange(len(own)), batch.column("best").to_numpy()] = 1
             missing = [0.0] * n
             domain = np.array([v or missing for v in batch.column("domain_votes").to_pylist()])
             host = np.array([v or missing for v in batch.column("host_votes").to_pylist()])
@@ -191,7 +261,9 @@ def identify(captures: DataFrame, model: TextModel, keep: list[str]) -> DataFram
             prior = (host + HOST_WEIGHT * prior) / (host.sum(1, keepdims=True) + HOST_WEIGHT)
             x = np.log(prior) + loglik
             for column, table in (("declared", declared), ("suffix", suffixes)):
-                x += np.array([table.get(v, table[None]) if v is not None else missing for v in batch.column(column).to_pylist()])
+                values = batch.column(column).to_pylist()
+                rows = {v: table.row(v) for v in set(values) - {None}}
+                x += np.array([missing if v is None else rows[v] for v in values])
             x = np.exp(x - x.max(1, keepdims=True))
             x /= x.sum(1, keepdims=True)
             top = x.argmax(1)

@@ -236,6 +236,18 @@ def test_evidence_decides_where_the_text_does_not(spark, docs):
     assert not got[102]["accepted"] and got[101]["accepted"]
 
 
+def test_every_label_is_a_language(spark):
+    """70 languages of their own syllables; the last are the rarest."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for c in range(70):
+        syllables = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 4)) for _ in range(8)]
+        for d in range(4 if c < 64 else 3):
+            rows.append((len(rows), " ".join(rng.choice(syllables, 60)), f"{chr(97 + c // 26)}{chr(97 + c % 26)}", "s"))
+    got = {r["doc_id"]: r for r in langid.identify_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all((got[d]["language"], got[d]["text_language"], got[d]["accepted"]) == (lang, lang, True) for d, _, lang, _ in rows)
+
+
 def test_languages_of_odd_rows(odd, empty):
     rows = langid.identify_documents(odd).collect()
     assert len(rows) == odd.count() and langid.identify_documents(empty).count() == 0
