@@ -26,8 +26,10 @@ NAME_WORD = rf"(?i){NAMES}"
 #: Published shapes of keys; they count as findings when training data are made.
 KNOWN_SHAPE = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}|sk-[A-Za-z0-9_-]{20,}|eyJ[A-Za-z0-9_-]{10,}.*)$"
 EDGES = r"^[\"'`(<\[{,;:]+|[\"'`)>\]},;:.!?*#%&$]+$"
-#: Labelled findings that the forest is fitted on at most, chosen by hash.
+#: Labelled findings that the forest is fitted on at most, half of them of each label, chosen by hash.
 MOST_LABELLED = 20_000
+#: A label with fewer findings than this is repeated that often, so that hardly a tree's draw misses it; weights keep its share.
+REPEATS = 16
 TREES, DEPTH = 20, 6
 #: Documents a letter sequence must stand in to count as a dictionary word.
 LEAST_WORD_COUNT = 3
@@ -112,14 +114,30 @@ def context_labels(features: DataFrame) -> DataFrame:
     return features.withColumn("label", F.when(positive, 1.0).when(negative, 0.0)).where("label is not null")
 
 
+def training_rows(labelled: DataFrame) -> DataFrame:
+    """``FEATURES``, label and weight: up to half of MOST_LABELLED rows of each label, weighted to the labels' true shares."""
+    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    parts = []
+    for label, n in sorted(counts.items()):
+        most = MOST_LABELLED // 2
+        copies = REPEATS if n * REPEATS < most else 1
+        part = labelled.where(F.col("label") == label).orderBy(F.xxhash64("finding", "key", "place")).limit(most)
+        part = part.select(*FEATURES, "label", F.lit(n / min(n, most) / copies).alias("weight"))
+        parts.append(part.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy"))
+    rows = parts[0] if parts else labelled.select(*FEATURES, "label", F.lit(1.0).alias("weight"))
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return durable(rows)
+
+
 def train_forest(labelled: DataFrame, seed: int = 7) -> RandomForestClassificationModel | float:
-    """Forest over ``FEATURES`` and label of at most MOST_LABELLED rows; a constant where only one label occurs."""
-    seen = labelled.agg(F.min("label"), F.max("label")).first()
+    """Forest over ``FEATURES`` and label of the ``training_rows``; a constant where only one label occurs among them."""
+    rows = training_rows(labelled)
+    seen = rows.agg(F.min("label"), F.max("label")).first()
     if seen[0] is None or seen[0] == seen[1]:
         return float(seen[0] or 0.0)
-    rows = labelled.orderBy(F.xxhash64("finding", "key", "place")).limit(MOST_LABELLED)
-    rows = durable(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("features", "label"))
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, subsamplingRate=0.8).fit(rows)
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("features", "label", "weight")
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, subsamplingRate=0.8, weightCol="weight").fit(rows)
 
 
 def judged(features: DataFrame, forest) -> DataFrame:

@@ -360,6 +360,15 @@ def test_secrets_are_found_and_lookalikes_left(spark):
     assert all(clean[d] == t for d, t, _ in rows if 100 <= d < 301)
 
 
+def test_one_secret_among_many_lookalikes(spark):
+    """The sample holds the one positive, whose hash is behind those of 20,000 negatives, and it is found."""
+    many = spark.range(25_000).select("id", F.concat(F.lit("the order "), F.format_string("%016d", F.col("id") * 7919 + 10**15), F.lit(" was sent")).alias("text"), F.lit("a").alias("source"))
+    secret = "q7Zk29fLm3Xw81TbVn54Rc60"
+    one = spark.createDataFrame([(30_014, f'plain words token = "{secret}" plain words', "a")], "id long, text string, source string")
+    found = secret_scan.scan(many.unionByName(one).withColumnRenamed("id", "doc_id"))
+    assert [r["finding"] for r in found.where("is_secret").collect()] == [secret] and found.count() == 25_001
+
+
 def test_secrets_of_odd_rows(odd, empty):
     found = secret_scan.scan(odd).collect()
     assert "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b" in {r["finding"] for r in found}
