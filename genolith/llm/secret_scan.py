@@ -1,7 +1,7 @@
 """Secret scanning with a random forest against false positives.
 
-Candidates are words with a long run of key-like characters and a digit, and
-values assigned to credential names. Each is described by its length, character
+Candidates are words with a long run of key-like characters and a digit, values
+assigned to credential names, lines of private-key blocks, and passwords in connection strings. Each is described by its length, character
 transitions, coverage by dictionary words, the names before it and its neighbouring
 words; a random forest trained on labelled findings says which are secrets.
 DataFrame functions and Spark's own forest only.
@@ -20,9 +20,15 @@ from genolith.session import durable
 
 #: Runs of key-like characters of this length, with a digit among them.
 LONG_RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
-NAMES = r"(?:secret|token|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential|bearer)"
+NAMES = r"(?:secret|token|passw(?:or)?d|passwd|pwd|api[ _-]?key|access[ _-]?key|private[ _-]?key|auth|credential|bearer)"
 ASSIGNED = rf"(?i)\b[\w.-]*{NAMES}[\w.-]*[\"']?\s*(?:=|:|:=|=>)\s*[\"']?[^\s\"']{{8,}}"
 NAME_WORD = rf"(?i){NAMES}"
+#: A name of two words right before the value.
+TWO_WORD_NAME = r"(?i)\b(?:api|access|private|secret)\s+key[\"']?\s*(?:[=:]+>?)?\s*\S+$"
+#: The lines of private-key blocks, cut short or not, and the password of user:password@host.
+KEY_BLOCK = r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----([^-]*)"
+CONNECTION = r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]*:([^\s/@]{8,})@"
+PLACEHOLDER = r"^[$<{%*\[]"
 #: Published shapes of keys; they count as findings when training data are made.
 KNOWN_SHAPE = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}|sk-[A-Za-z0-9_-]{20,}|eyJ[A-Za-z0-9_-]{10,}.*)$"
 EDGES = r"^[\"'`(<\[{,;:]+|[\"'`)>\]},;:.!?*#%&$]+$"
@@ -40,30 +46,38 @@ FEATURES = [
     "assigned", "named", "named_near", "quoted", "path_like", "url_like", "separators", "next_plain",
 ]
 
+#: Those that a value has from its surroundings.
+CONTEXT = ["assigned", "named", "named_near", "quoted"]
+
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """One row per candidate word: key, doc_id, source, place (word number), finding (the bare value), and its neighbours.
+    """One row per candidate word: key, doc_id, source, place (word number), finding (the bare value), its neighbours, and role ('block', 'connection' or null).
 
     Only documents in which a pattern matches are cut into words. A text without
     a candidate gives no row.
     """
     rows = docs.select(row_key("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_or_empty().alias("text"))
-    rows = rows.where(F.col("text").rlike(LONG_RUN) | F.col("text").rlike(ASSIGNED))
-    words = rows.select("key", "doc_id", "source", F.split("text", GAP).alias("words"))
+    rows = rows.where(F.col("text").rlike(LONG_RUN) | F.col("text").rlike(ASSIGNED) | F.col("text").rlike(KEY_BLOCK) | F.col("text").rlike(CONNECTION))
+    # A line of a key block is a word of 8 base64 characters or more between its marks.
+    lines = F.filter(F.split(F.array_join(F.regexp_extract_all("text", F.lit(KEY_BLOCK), F.lit(1)), " "), GAP), lambda w: w.rlike(r"^[A-Za-z0-9+/=]{8,}$"))
+    words = rows.select("key", "doc_id", "source", F.split("text", GAP).alias("words"), lines.alias("lines"))
     bare = lambda w: F.regexp_replace(F.regexp_replace(w, r"^[\w.-]+[\"']?(?:=|:|:=|=>)(?=[\"']?[^\s=])", ""), EDGES, "")
 
     def described(w: Column, i: Column, all_: Column) -> Column:
         before = F.concat_ws(" ", F.get(all_, i - 3), F.get(all_, i - 2), F.get(all_, i - 1))
-        return F.struct(i.alias("place"), w.alias("word"), before.alias("before"), F.coalesce(F.get(all_, i + 1), F.lit("")).alias("after"))
+        role = F.when(in_block(w), "block").when(w.rlike(CONNECTION), "connection")
+        return F.struct(role.alias("role"), i.alias("place"), w.alias("word"), before.alias("before"), F.coalesce(F.get(all_, i + 1), F.lit("")).alias("after"))
 
     is_run = lambda w: w.rlike(LONG_RUN)
-    near = lambda i, all_: F.concat_ws(" ", F.get(all_, i - 2), F.get(all_, i - 1))
+    in_block = lambda w: F.array_contains("lines", w)
+    near = lambda i, all_: F.concat_ws(" ", F.get(all_, i - 3), F.get(all_, i - 2), F.get(all_, i - 1))
     is_value = lambda w, i, all_: F.concat_ws(" ", near(i, all_), w).rlike(rf"{ASSIGNED}$") & (F.length(w) >= 8)
     picked = F.filter(
-        F.element_at(F.transform(F.array("words"), lambda a: F.transform(a, lambda w, i: F.when(is_run(w) | is_value(w, i, a), described(w, i, a)))), 1),
+        F.element_at(F.transform(F.array("words"), lambda a: F.transform(a, lambda w, i: F.when(is_run(w) | is_value(w, i, a) | in_block(w) | w.rlike(CONNECTION), described(w, i, a)))), 1),
         lambda s: s.isNotNull())
     flat = words.select("key", "doc_id", "source", F.explode(picked).alias("c")).select("key", "doc_id", "source", "c.*")
-    return flat.withColumn("finding", bare(F.col("word"))).where(F.length("finding") >= 8)
+    finding = F.when(F.col("role") == "connection", F.regexp_extract("word", CONNECTION, 1)).when(F.col("role") == "block", F.col("word")).otherwise(bare(F.col("word")))
+    return flat.withColumn("finding", finding).where(F.length("finding") >= 8)
 
 
 def _share(text: Column, pattern: str) -> Column:
@@ -87,6 +101,9 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
     runs = parts.select("id", F.explode(F.regexp_extract_all(F.lower("finding"), F.lit("[a-z]{3,15}"), F.lit(0))).alias("word"))
     covered = runs.join(words, "word").groupBy("id").agg(F.sum(F.length("word")).alias("covered"))
     rows = parts.join(covered, "id", "left")
+    # What stands in a key block or before a host's @ has its name from there, and the address around it is not its own.
+    placed = F.col("role").isNotNull()
+    phrase = F.concat_ws(" ", "before", "word")
     n = F.greatest(F.length("finding"), F.lit(1))
     changes = F.length(F.regexp_replace(F.col("shape"), r"(.)\1*", "x")) - 1
     values = {
@@ -94,9 +111,9 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         "kinds": F.size(F.array_distinct(F.split("shape", ""))), "transitions": changes / n, "distinct": F.size(F.array_distinct(F.split("finding", ""))) / n,
         "hexadecimal": f.rlike("^[0-9a-fA-F]+$"), "longest_letters": F.array_max(F.transform(F.split("finding", "[^A-Za-z]+"), F.length)) / n,
         "coverage": F.coalesce("covered", F.lit(0)) / n,
-        "assigned": F.concat_ws(" ", "before", "word").rlike(r"(?:=|:)[\s\"']*\S+$"), "named": F.concat_ws(" ", F.regexp_extract("before", r"(\S+(?:\s+[=:]+>?)?)$", 1), "word").rlike(NAME_WORD),
-        "named_near": F.col("before").rlike(NAME_WORD), "quoted": F.col("word").rlike("[\"'`]"), "path_like": f.rlike(r"/\w+/") | F.col("word").rlike(r"^\.?\.?/"),
-        "url_like": F.col("word").rlike(r"(?i)^(?:https?|ftp)://|www\."), "separators": _share(f, "[^_/=+-]"), "next_plain": F.col("after").rlike(r"^[A-Za-z,.]+$"),
+        "assigned": placed | phrase.rlike(r"(?:=|:)[\s\"']*\S+$"), "named": placed | phrase.rlike(TWO_WORD_NAME) | F.concat_ws(" ", F.regexp_extract("before", r"(\S+(?:\s+[=:]+>?)?)$", 1), "word").rlike(NAME_WORD),
+        "named_near": F.col("before").rlike(NAME_WORD), "quoted": F.col("word").rlike("[\"'`]"), "path_like": ~placed & (f.rlike(r"/\w+/") | F.col("word").rlike(r"^\.?\.?/")),
+        "url_like": ~placed & F.col("word").rlike(r"(?i)^(?:https?|ftp)://|www\."), "separators": _share(f, "[^_/=+-]"), "next_plain": F.col("after").rlike(r"^[A-Za-z,.]+$"),
     }
     return rows.select(*found.columns, *[values[c].cast("double").alias(c) for c in FEATURES])
 
@@ -104,14 +121,23 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
 def context_labels(features: DataFrame) -> DataFrame:
     """Labelled findings where no reviewed ones exist: label 1 or 0, and rows that neither rule decides stay out.
 
-    Positive are keys of published shapes and mixed values quoted in an assignment to a
-    credential name; negative are values of digits alone, URLs, paths, and words
-    that the dictionary covers by half, outside any assignment.
+    Positive are keys of published shapes, mixed values in an assignment to a credential
+    name, lines of key blocks, and passwords in connection strings that are no
+    placeholders; negative are values of digits alone, URLs, paths, and words that
+    the dictionary covers by half, where no credential name stands. Values that alternate
+    like keys are no paths. Other unassigned values stay out. A key is one
+    without its context too: positives come a second time without it, so that the
+    forest judges bare values by themselves.
     """
     mixed = (F.col("digits") > 0.1) & (F.col("letters") > 0.1) & (F.col("coverage") < 0.5)
-    positive = F.col("finding").rlike(KNOWN_SHAPE) | (mixed & (F.col("assigned") == 1) & (F.col("named") == 1))
-    negative = (F.col("named") == 0) & ((F.col("letters") == 0) | (F.col("url_like") == 1) | (F.col("path_like") == 1) | (F.col("coverage") >= 0.5) | (F.col("assigned") == 0))
-    return features.withColumn("label", F.when(positive, 1.0).when(negative, 0.0)).where("label is not null")
+    placed = (F.col("role") == "block") | ((F.col("role") == "connection") & (F.col("coverage") < 0.5) & ~F.col("finding").rlike(PLACEHOLDER))
+    positive = F.col("finding").rlike(KNOWN_SHAPE) | F.coalesce(placed, F.lit(False)) | (mixed & (F.col("assigned") == 1) & (F.col("named") == 1))
+    path = (F.col("path_like") == 1) & ((F.col("transitions") < 0.4) | (F.col("digits") == 0))
+    negative = (F.col("named") == 0) & ((F.col("letters") == 0) | (F.col("url_like") == 1) | path | (F.col("coverage") >= 0.5))
+    rows = features.withColumn("label", F.when(positive, 1.0).when(negative, 0.0)).where("label is not null")
+    # Passwords are told by their place alone.
+    keys = rows.where((F.col("label") == 1) & mixed & (F.col("length") >= 16))
+    return rows.unionByName(keys.withColumns({c: F.lit(0.0) for c in CONTEXT}))
 
 
 def training_rows(labelled: DataFrame) -> DataFrame:
