@@ -147,7 +147,7 @@ def training_rows(labelled: DataFrame) -> DataFrame:
     for label, n in sorted(counts.items()):
         most = MOST_LABELLED // 2
         copies = REPEATS if n * REPEATS < most else 1
-        part = labelled.where(F.col("label") == label).orderBy(F.xxhash64("finding", "key", "place")).limit(most)
+        part = labelled.where(F.col("label") == label).orderBy(F.xxhash64("finding", "key", "place"), *FEATURES).limit(most)
         part = part.select(*FEATURES, "label", F.lit(n / min(n, most) / copies).alias("weight"))
         parts.append(part.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy"))
     rows = parts[0] if parts else labelled.select(*FEATURES, "label", F.lit(1.0).alias("weight"))
