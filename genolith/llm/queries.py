@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genolith.llm import fingerprints, langid, maxent, mixing, neardup, packing, pivots, repeats, secret_scan, warc
+from genolith.llm import divergence, fingerprints, langid, maxent, mixing, neardup, packing, pivots, repeats, runs, secret_scan, tokenfile, warc
 from genolith.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,42 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+AUDIT_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT row, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY 1, 2 HAVING count(DISTINCT row) >= 10),
+l AS (SELECT lang, count(*) AS terms, sum(lang_n) AS lang_total FROM k GROUP BY 1),
+e AS (SELECT w.lang, source, w.term, count(*) AS n FROM w JOIN k ON w.lang = k.lang AND w.term = k.term GROUP BY 1, 2, 3),
+g AS (SELECT s.lang, s.source, coalesce(l.terms, 0) AS terms, coalesce(lang_total, 0) AS lang_total,
+    coalesce((SELECT sum(n) FROM e WHERE e.lang = s.lang AND e.source = s.source), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) s LEFT JOIN l ON s.lang = l.lang),
+x AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 2) // (total + 2 * terms) AS HUGEINT) AS p,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (lang_n + 2) // (lang_total + 2 * terms) AS HUGEINT) AS q
+  FROM g JOIN k ON g.lang = k.lang LEFT JOIN e ON e.lang = g.lang AND e.source = g.source AND e.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM x WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM o WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op11_source_divergence", AUDIT_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+@query("op12_token_files")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    directory, folder = tokenfile.write_documents(spark, read(spark, sf_dir, "documents"), tokenizer_path())
+    return tokenfile.read_token_files(directory, folder)
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(runs.periodic_runs(read(spark, sf_dir, "documents"), plant=True))
