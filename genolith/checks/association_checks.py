@@ -8,7 +8,7 @@ from genolith import fixtures as fx
 from genolith.checks.genotype_checks import CALLS, HWE
 from genolith.checks.oracle_math import two_sided
 from genolith.checks.registry import genotypes, query, r, rounded
-from genolith.operators import association as assoc, genes, meta, models, ranking
+from genolith.operators import association as assoc, genes, meta, mixed, models, ranking, saddlepoint
 from genolith.plans import gwas as plan
 
 
@@ -242,6 +242,67 @@ def _(spark, d):
     return subjects(spark, d).agg(models.outcome_family("trait").alias("trait"), models.outcome_family("is_case").alias("is_case"))
 
 
+TEN = {"age": "(sample_key * 37) % 41", "sex": "sample_key % 2", "day": "sample_key % 7", "site": "grp", "wave": "(sample_key * 11) % 13", "batch": "(sample_key * 5) % 17",
+       "plate": "(sample_key * 29) % 31", "visit": "(sample_key * 3) % 19", "lane": "(sample_key * 43) % 47", "ward": "(sample_key * 7) % 23"}
+
+
+def _ten(spark, d, gaps=False):
+    s = fx.view(spark, d, "fx_samples")
+    value = lambda i, e: F.expr(f"CASE WHEN sample_key % {i + 23} <> 5 THEN cast({e} AS DOUBLE) END" if gaps and i < 3 else f"cast({e} AS DOUBLE)")
+    return s.select("sample_key", "trait", F.col("is_case").cast("double").alias("is_case"), *[value(i, e).alias(c) for i, (c, e) in enumerate(TEN.items())])
+
+
+@query("nul1_all_subsets", f"""WITH m AS (SELECT unnest(range(1, 1024)) AS m), n AS (SELECT m, count(*) AS n FROM m, fx_samples WHERE
+    {' AND '.join(f"(m >> {i} & 1 = 0 OR sample_key % {i + 23} <> 5)" for i in range(3))} GROUP BY m)
+  SELECT array_to_string(list_transform(list_filter(range(1, 11), lambda i: (m.m >> (i - 1)) & 1 = 1), lambda i: {list(TEN)}[i]), ',') AS covariates, cast(coalesce(n, 0) AS INT) AS n
+  FROM m LEFT JOIN n ON m.m = n.m""")
+def _(spark, d):
+    # All subsets of ten covariate groups, three of them with gaps, with the number of complete subjects.
+    fits = models.exhaustive_search(_ten(spark, d, gaps=True), "trait", {c: [c] for c in TEN})
+    return models.models_table(spark, fits).select(F.array_join("covariates", ",").alias("covariates"), "n")
+
+
+@query("nul2_all_subsets")
+def _(spark, d):
+    fits = models.exhaustive_search(_ten(spark, d), "trait", {c: [c] for c in TEN})
+    return models.models_table(spark, fits)
+
+
+def _relationship(spark, d, held):
+    entries = genotypes(spark, d).entries
+
+    def of(keys):
+        held.append(mixed.Relationship.of(entries, keys))
+        return held[-1]
+
+    return of
+
+
+@query("nul2_kinship_gaussian")
+def _(spark, d):
+    # Every subset of four covariate groups with the kinship effect; one Krylov space serves all.
+    data = subjects(spark, d)
+    sets = {",".join(s): list(s) for s in (["age"], ["sex"], ["day"], ["grp"], ["age", "sex"], ["age", "sex", "day"], ["age", "sex", "day", "grp"])}
+    return mixed.mixed_table(spark, mixed.fit_mixed_models(data, "trait", sets, _relationship(spark, d, [])))
+
+
+@query("nul2_kinship_binary")
+def _(spark, d):
+    return mixed.mixed_table(spark, mixed.fit_mixed_models(subjects(spark, d), "is_case", {"sex": ["sex"]}, _relationship(spark, d, [])))
+
+
+@query("gwa1_kinship_score_test")
+def _(spark, d):
+    held = []
+    fit = mixed.fit_mixed_models(subjects(spark, d), "trait", {"sex": ["sex"]}, _relationship(spark, d, held))[0]
+    return mixed.mixed_score_test(genotypes(spark, d).entries, fit, held[0])
+
+
+@query("reg2_saddlepoint")
+def _(spark, d):
+    return saddlepoint.saddlepoint_test(genotypes(spark, d).entries, _fitted(spark, d, "is_case"))
+
+
 # --- meta-analysis -----------------------------------------------------------
 
 STUDY = """SELECT concat(contig, ':', cast(pos AS STRING)) AS variant_id, variant_key, CASE WHEN variant_key % {swap} = 1 THEN other_allele ELSE effect_allele END AS effect_allele,

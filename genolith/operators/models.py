@@ -213,13 +213,134 @@ def expand(groups: dict[str, list[str]], names: list[str]) -> list[str]:
     return list(dict.fromkeys(c for n in names for c in groups.get(n, [n])))
 
 
+#: Subsets after which the swept matrix is built anew, so that rounding does not add up.
+SWEEPS_KEPT = 64
+LEAST_PIVOT = 1e-11
+
+
+def _sweep(a: np.ndarray, k: int, back: bool = False) -> None:
+    """Sweep row and column k of a symmetric matrix in place, or undo it."""
+    d, row = a[k, k], a[k].copy()
+    a -= np.outer(row, row) / d
+    a[k] = a[:, k] = -row / d if back else row / d
+    a[k, k] = -1.0 / d
+
+
+def _pattern_products(data: DataFrame, outcome: str, always: list[str], grouped: list[list[str]]) -> dict[int, np.ndarray]:
+    """Cross products of (1, columns, outcome) by which groups a row has gaps in, a bit each; one pass over the rows."""
+    columns = [*always, *[c for g in grouped for c in g]]
+    places, at = [], 1 + len(always)
+    for g in grouped:
+        places.append(list(range(at, at + len(g))))
+        at += len(g)
+    fixed = len(always)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            x = np.column_stack([np.ones(len(pdf)), pdf.to_numpy(dtype=float)])
+            gap = np.isnan(x)
+            ok = ~gap[:, -1] & ~gap[:, : 1 + fixed].any(1)
+            bits = sum((gap[:, own].any(1).astype(np.int64) << i for i, own in enumerate(places)), np.zeros(len(x), np.int64))
+            x = np.where(gap, 0.0, x)
+            for pattern in np.unique(bits[ok]).tolist():
+                own = x[ok & (bits == pattern)]
+                totals[pattern] = totals.get(pattern, 0) + own.T @ own
+        for pattern, part in totals.items():
+            yield pd.DataFrame({"pattern": [pattern], "block": [to_bytes(part)]})
+
+    numeric = data.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(columns)], F.col(outcome).cast("double").alias("y"))
+    size = len(columns) + 2
+    rows = sum_blocks(numeric.mapInPandas(sums, "pattern long, block binary"), ["pattern"], "block").toLocalIterator()
+    return {row["pattern"]: from_bytes(row["block"], size, size).copy() for row in rows}
+
+
+def sweep_subsets(data: DataFrame, outcome: str, groups: dict[str, list[str]], always: list[str] | None = None) -> dict[int, FittedModel]:
+    """Least-squares fits of every non-empty subset of the groups (by bit mask), each over its own complete rows.
+
+    One pass adds up a cross product per pattern of gaps, of which there are no more than subsets. The subsets that use
+    the same patterns are walked in Gray-code order: the next one differs by a group, which is swept in or out.
+    """
+    names = list(groups)
+    levels = factor_levels(data, sorted({*(always or []), *(c for columns in groups.values() for c in columns)}))
+    wide = lambda columns: [x for c in columns for x in levels.get(c, [c])]
+    fixed = wide(always or [])
+    grouped = [[c for c in wide(groups[g]) if c not in fixed] for g in names]
+    data = with_factors(data, [*fixed, *(c for g in grouped for c in g)])
+    products = _pattern_products(data, outcome, fixed, grouped)
+    starts = np.cumsum([1 + len(fixed), *map(len, grouped)])
+    y = int(starts[-1])
+
+    by_patterns: dict[tuple[int, ...], list[int]] = {}
+    for i in range(1, 1 << len(names)):
+        mask = i ^ (i >> 1)
+        by_patterns.setdefault(tuple(p for p in products if not p & mask), []).append(mask)
+    out: dict[int, FittedModel] = {}
+    for patterns, masks in by_patterns.items():
+        base = sum((products[p] for p in patterns), np.zeros((y + 1, y + 1)))
+        n = int(round(base[0, 0]))
+        state, swept, since = None, 0, 0
+        for mask in masks:
+            chosen = [g for b, g in enumerate(names) if mask >> b & 1]
+            columns = list(dict.fromkeys([*(c for b, g in enumerate(grouped) if mask >> b & 1 for c in g), *fixed]))
+            model = out[mask] = FittedModel("", [INTERCEPT, *columns], "gaussian", n, groups=chosen)
+            p = len(model.columns)
+            if n <= p:
+                model.error = "singular"
+                continue
+            if state is None or since >= SWEEPS_KEPT:
+                state, swept, since = base.copy(), 0, 0
+                if not all(_swept_in(state, base, k) for k in range(1 + len(fixed))):
+                    model.error, state = "singular", None
+                    continue
+            fine = True
+            for b in range(len(names)):
+                own = range(int(starts[b]), int(starts[b + 1]))
+                if swept >> b & 1 and not mask >> b & 1:
+                    for k in own:
+                        _sweep(state, k, back=True)
+            for b in range(len(names)):
+                if fine and mask >> b & 1 and not swept >> b & 1:
+                    fine = all(_swept_in(state, base, k) for k in range(int(starts[b]), int(starts[b + 1])))
+            swept, since = mask, since + 1
+            if not fine:
+                model.error, state = "singular", None
+                continue
+            places = {c: int(starts[b]) + i for b, g in enumerate(grouped) for i, c in enumerate(g)} | {c: 1 + i for i, c in enumerate(fixed)} | {INTERCEPT: 0}
+            rss = float(state[y, y])
+            if rss <= 1e-12 * base[y, y]:
+                model.error = "perfect fit"
+                continue
+            model.coefficients = np.array([state[y, places[c]] for c in model.columns])
+            model.dispersion, model.converged = rss / (n - p), True
+            model.aic = n * (math.log(2 * math.pi) + math.log(rss / n) + 1) + 2 * (p + 1)
+    return out
+
+
+def _swept_in(state: np.ndarray, base: np.ndarray, k: int) -> bool:
+    """Sweep k unless it is, up to rounding, a combination of those swept in before."""
+    if not state[k, k] > LEAST_PIVOT * base[k, k]:
+        return False
+    _sweep(state, k)
+    return True
+
+
 def exhaustive_search(data: DataFrame, outcome: str, groups: dict[str, list[str]], always: list[str] | None = None,
                       family: str | None = None) -> list[FittedModel]:
-    """Every non-empty subset of the covariate groups plus the ``always`` columns."""
-    spark = data.sparkSession
+    """Every non-empty subset of the covariate groups plus the ``always`` columns: one pass for gaussian outcomes, Newton passes for yes/no ones."""
+    if family is None:
+        family = data.agg(outcome_family(outcome)).first()[0]
+    spark, bit = data.sparkSession, {g: 1 << i for i, g in enumerate(groups)}
     subsets = covariate_combinations(spark, list(groups)).select("model_index", "covariates").collect()
-    sets = {f"{row['model_index']:04d}": expand(groups, row["covariates"]) + (always or []) for row in subsets}
-    fitted = fit_models(data, outcome, sets, family)
+    owned = [c for columns in groups.values() for c in columns]
+    if family == "gaussian" and len(owned) == len(set(owned)):
+        fits = sweep_subsets(data, outcome, groups, always)
+        fitted = [fits[sum(bit[g] for g in row["covariates"])] for row in subsets]
+        for model, row in zip(fitted, subsets):
+            model.name = f"{row['model_index']:04d}"
+    else:
+        sets = {f"{row['model_index']:04d}": expand(groups, row["covariates"]) + (always or []) for row in subsets}
+        fitted = fit_models(data, outcome, sets, family)
     for model, row in zip(fitted, subsets):
         model.groups = list(row["covariates"])
     return fitted

@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genolith.operators import association, models, qc
+from genolith.operators import association, mixed, models, qc
 from genolith.operators.genotypes import GenotypeSet
 from genolith.session import broadcast_if_small, durable
 
@@ -27,14 +27,19 @@ def quality_controlled(g: GenotypeSet) -> GenotypeSet:
 
 
 def association_scan(g: GenotypeSet, subjects: DataFrame, outcome: str, covariates: list[str],
-                     search: dict[str, list[str]] | None = None) -> DataFrame:
+                     search: dict[str, list[str]] | None = None, kinship: bool = False) -> DataFrame:
     """Score tests of the variants that pass quality control, Bonferroni adjusted.
 
     With ``search`` the covariates are chosen by AIC among the subsets of the
-    given groups, on top of ``covariates``.
+    given groups, on top of ``covariates``. With ``kinship`` the null model has a random effect by the relationship
+    matrix of the variants that pass.
     """
     clean = quality_controlled(g)
     data = durable(subjects.join(clean.samples.select("sample_key"), "sample_key", "left_semi"))
+    if kinship:
+        table = durable(_with_kinship(clean, data, outcome, covariates, search))
+        tested = table.agg(F.count("score_pval")).first()[0]
+        return table.withColumn("bonferroni", F.least(F.lit(1.0), F.col("score_pval") * tested))
     if search:
         fits = models.exhaustive_search(data, outcome, search, covariates)
         usable = [m for m in fits if m.converged and m.aic is not None]
@@ -44,3 +49,18 @@ def association_scan(g: GenotypeSet, subjects: DataFrame, outcome: str, covariat
     table = durable(association.gwas(clean.entries, clean.variants, association.score_model(data, outcome, model)))
     tested = table.agg(F.count("score_pval")).first()[0]
     return table.withColumn("bonferroni", F.least(F.lit(1.0), F.col("score_pval") * tested))
+
+
+def _with_kinship(g: GenotypeSet, data: DataFrame, outcome: str, covariates: list[str], search: dict[str, list[str]] | None) -> DataFrame:
+    """Association table under the mixed null model; among the subsets of ``search`` the one of least AIC."""
+    held: list[mixed.Relationship] = []
+
+    def relationship(keys):
+        held.append(mixed.Relationship.of(g.entries, keys))
+        return held[-1]
+
+    subsets = [row["covariates"] for row in models.covariate_combinations(data.sparkSession, list(search)).orderBy("model_index").collect()] if search else [[]]
+    sets = {",".join(s): [*(models.expand(search, s) if search else []), *covariates] for s in subsets}
+    usable = [m for m in mixed.fit_mixed_models(data, outcome, sets, relationship) if m.converged and m.aic is not None]
+    model = min(usable, key=lambda m: (m.aic, m.name))
+    return association.with_alleles(mixed.mixed_score_test(g.entries, model, held[0]), g.variants)
