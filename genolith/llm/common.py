@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -62,6 +63,14 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
             start = stop
 
 
+def release_memory() -> None:
+    """Give a task's freed memory back, since Spark keeps its Python worker for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 @dataclass
 class Words:
     """The words of a block: ``codes`` into ``dictionary``, document d's at ``starts[d]:starts[d + 1]``."""

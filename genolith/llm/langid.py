@@ -19,12 +19,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genolith.llm.common import blocks, row_key, text_or_empty
+from genolith.llm.common import blocks, release_memory, row_key, text_or_empty
 from genolith.session import durable
 
 BUCKETS = 1 << 15
 #: Suffixes that have probabilities of their own.
 MOST_SUFFIXES = 512
+#: Text worked on at once, in bytes: a byte takes some fifty in arrays.
+TEXT_BYTES = 1 << 20
 #: Languages whose trigram weights a task unfolds at once, and (row, language) cells that it works on at once.
 LANGUAGE_BLOCK, CELLS = 64, 1 << 21
 UNKNOWN = "und"
@@ -118,22 +120,17 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang") -> TextModel
             found = [np.concatenate([x[k] for x in cells]) if cells else np.empty(0, np.int64) for k in range(2)]
             return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["cell", "n"])
 
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", TEXT_BYTES):
             bucket, starts = _trigrams(block.column("text"))
             own = np.array([code.get(x, -1) for x in block.column("label").to_pylist()], np.int64)
-            where = np.repeat(own, np.diff(starts))
-            present, local = np.unique(own, return_inverse=True)
-            local = np.repeat(local, np.diff(starts))
-            for first in range(0, len(present), LANGUAGE_BLOCK):
-                some = present[first:first + LANGUAGE_BLOCK]
-                hit = (where >= 0) & (local >= first) & (local < first + len(some))
-                counts = np.bincount((local[hit] - first) * BUCKETS + bucket[hit], minlength=len(some) * BUCKETS).reshape(len(some), BUCKETS)
-                for c, n in zip(some.tolist(), counts):
-                    if c >= 0:
-                        sums[c] = sums[c] + n if c in sums else n
+            for c in np.unique(own[own >= 0]).tolist():
+                # The texts of one language after another, without an array over all of them.
+                n = np.bincount(np.concatenate([bucket[starts[d]:starts[d + 1]] for d in np.flatnonzero(own == c)]), minlength=BUCKETS)
+                sums[c] = sums[c] + n if c in sums else n
                 if len(sums) > LANGUAGE_BLOCK:
                     yield flushed()
         yield flushed()
+        release_memory()
 
     cells, n = np.empty(0, np.int64), np.empty(0, np.int64)
     if names:
@@ -162,7 +159,7 @@ def text_evidence(captures: DataFrame, model: TextModel, keep: list[str]) -> Dat
         model = sent.value
         prior, size = np.log(model.shares), len(model.languages)
         kept = model.table(0) if size <= LANGUAGE_BLOCK else None
-        for block in (part for whole in blocks(batches, "text") for part in _slices(whole, size)):
+        for block in (part for whole in blocks(batches, "text", TEXT_BYTES) for part in _slices(whole, size)):
             texts = block.column("text")
             bucket, starts = _trigrams(texts)
             n = np.diff(starts)
@@ -171,7 +168,7 @@ def text_evidence(captures: DataFrame, model: TextModel, keep: list[str]) -> Dat
             for first in range(0, size if len(some) else 0, LANGUAGE_BLOCK):
                 weights = model.table(first) if kept is None else kept
                 for c in range(weights.shape[1]):
-                    sums[some, first + c] = np.add.reduceat(weights[bucket, c], starts[:-1][some])
+                    sums[some, first + c] = np.add.reduceat(weights[bucket, c], starts[:-1][some], dtype=np.float64)
             scale = np.minimum(n, MOST_TRIGRAMS) / np.maximum(n, 1) / OVERLAP
             loglik = sums * scale[:, None]
             best = (loglik + prior).argmax(1)
@@ -179,6 +176,7 @@ def text_evidence(captures: DataFrame, model: TextModel, keep: list[str]) -> Dat
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * size, pa.int32()), pa.array(loglik.ravel()))
             yield pa.RecordBatch.from_arrays([*(block.column(k) for k in keep), pa.array(n), letters, lists, pa.array(best, pa.int32())],
                                              [*keep, "trigrams", "letters", "loglik", "best"])
+        release_memory()
 
     return captures.mapInArrow(run, f"{fields}, trigrams long, letters boolean, loglik array<double>, best int")
 
