@@ -6,20 +6,22 @@ dropped as soon as the posterior probability of a similarity at the threshold
 falls below ``MISS``; survivors are confirmed on their full shingle sets. To know
 the components, not all pairs of a large group are confirmed: every class meets
 the busiest class of its band groups first; then, round by round, only its
-likeliest partners in other components, a few first and all of them in the end.
+likeliest partners in other components. At last the groups that still hold several components are
+settled block by block: survivors of the test are confirmed on the full sets in place, and only the links that
+join components leave the task, fewer than the block has members.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genolith.llm.common import BLOCK_BYTES, WORD, blocks, mix, row_key, shingle_hashes, text_or_empty, words_of
+from genolith.llm.common import BLOCK_BYTES, WORD, blocks, gather, mix, row_key, shingle_hashes, text_or_empty, words_of
 from genolith.operators.graph import components
 from genolith.session import durable
 
@@ -35,8 +37,10 @@ SHINGLE = 5
 LINK_PERCENT = 75
 #: Members of a band group that one comparison block holds.
 BLOCK_MEMBERS = 1024
-#: Partners of other components that a class gets per block in each round; None: all.
-PARTNERS = (4, None)
+#: Partners of other components that a class gets per block before groups are settled whole.
+PARTNERS = 4
+#: Bytes of shingle sets that one comparison block holds, and set elements that are looked up at once.
+BLOCK_SETS, LOOKUPS = 8 << 20, 1 << 21
 
 
 def _factors() -> tuple[np.ndarray, np.ndarray]:
@@ -166,85 +170,163 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _cross_pairs(members: DataFrame, partners: int | None) -> DataFrame:
-    """(a, b, matches) of different components within each band group that survive the test.
+def _cut(members: DataFrame, parts: Column, extra: list[str]) -> DataFrame:
+    """Every two parts of a group as a block (band, i, j); rows of one part meet in the block i = j only."""
+    cut = members.withColumn("parts", parts.cast("int")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    columns = ["part", "node", "root", "size", "sketch", "bands", *extra]
+    cut = cut.select("band", other, *columns).select("band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), *columns)
+    return cut.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
+
 
-    ``members``: band, node, root, size, sketch, bands, n (members of the group). Groups are cut
-    into blocks; a task runs through its sorted blocks and compares rows d apart, for
-    all blocks at once, so small groups cost no call of their own. A pair leaves
-    the task only as one of the ``partners`` likeliest of either end in its block.
-    A pair counts in the first band that it shares only, and sets whose sizes differ
-    too much cannot be linked.
+def _by_blocks(batches: Iterator[pa.RecordBatch], compare: Callable[[pa.Table], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``compare`` of tables of whole blocks, as many as have come."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        same = np.ones(held.num_rows, bool)
+        for c in ("band", "i", "j"):
+            same &= held.column(c).to_numpy() == held.column(c)[-1].as_py()
+        whole = int(np.argmax(same))  # rows of the last block are contiguous
+        if whole:
+            yield compare(held.slice(0, whole))
+            held = held.slice(whole)
+    if held is not None and held.num_rows:
+        yield compare(held)
+
+
+def _candidates(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(left, right, matches) of the row pairs of different components that survive the test.
+
+    Rows d apart are compared for all blocks at once, so small groups cost no call of their own.
+    A pair counts in the first band that it shares only, and sets whose sizes differ too much cannot be linked.
+    """
+    band, i, j, part, node, root, size = (rows.column(c).to_numpy() for c in ("band", "i", "j", "part", "node", "root", "size"))
+    sketch = _sketches(rows.column("sketch").combine_chunks())
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    group = np.cumsum(np.concatenate([[True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+    at, d = np.arange(len(node)), 1
+    while len(at):
+        at = at[at + d < len(node)]
+        at = at[group[at] == group[at + d]]
+        close = 100 * np.minimum(size[at], size[at + d]) >= LINK_PERCENT * np.maximum(size[at], size[at + d])
+        apart = (part[at] != part[at + d]) | (i[at] == j[at])
+        pairs = at[(root[at] != root[at + d]) & (node[at] != node[at + d]) & close & apart]
+        for s in range(0, len(pairs), 1 << 15):
+            p = pairs[s:s + (1 << 15)]
+            first = (bands[p] == bands[p + d]).argmax(1)
+            p = p[bands[p, first] == band[p]]
+            alive, matches = surviving(sketch[p], sketch[p + d])
+            if len(alive):
+                yield p[alive], p[alive] + d, matches
+        d += 1
+
+
+def _likely_pairs(members: DataFrame) -> DataFrame:
+    """(a, b) of different components within each band group: the PARTNERS likeliest of either end in a block.
+
+    ``members``: band, node, root, size, sketch, bands, n (members of the group).
     """
-    parts = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
-    cut = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    cut = cut.select("band", "node", "root", "size", "sketch", "bands", "part", other).select(
-        "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "root", "size", "sketch", "bands")
 
     def likeliest(left: np.ndarray, right: np.ndarray, matches: np.ndarray) -> np.ndarray:
         """Positions of the pairs that are among the best of one of their ends."""
-        if partners is None or not len(left):
-            return np.arange(len(left))
+        if not len(left):
+            return np.arange(0)
         chosen = []
         for own in (left, right):
             order = np.lexsort((-matches, own))
             first = np.concatenate([[True], own[order][1:] != own[order][:-1]])
             place = np.arange(len(order)) - np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
-            chosen.append(order[place < partners])
+            chosen.append(order[place < PARTNERS])
         return np.unique(np.concatenate(chosen))
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        band, i, j, part, node, root, size = (rows.column(c).to_numpy() for c in ("band", "i", "j", "part", "node", "root", "size"))
-        sketch = _sketches(rows.column("sketch").combine_chunks())
-        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        group = np.cumsum(np.concatenate([[True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-        held = [(np.empty(0, np.int64),) * 3]
-        at, d, count = np.arange(len(node)), 1, 0
-        while len(at):
-            at = at[at + d < len(node)]
-            at = at[group[at] == group[at + d]]
-            close = 100 * np.minimum(size[at], size[at + d]) >= LINK_PERCENT * np.maximum(size[at], size[at + d])
-            # Rows of one part meet in the part's own block only.
-            apart = (part[at] != part[at + d]) | (i[at] == j[at])
-            pairs = at[(root[at] != root[at + d]) & (node[at] != node[at + d]) & close & apart]
-            for s in range(0, len(pairs), 1 << 15):
-                p = pairs[s:s + (1 << 15)]
-                first = (bands[p] == bands[p + d]).argmax(1)
-                p = p[bands[p, first] == band[p]]
-                alive, matches = surviving(sketch[p], sketch[p + d])
-                held.append((p[alive], p[alive] + d, matches))
-                count += len(alive)
+        node = rows.column("node").to_numpy()
+        held, count = [(np.empty(0, np.int64),) * 3], 0
+        for found in _candidates(rows):
+            held.append(found)
+            count += len(found[0])
             if count > 1 << 18:  # keep no more than what may still be among the best
                 left, right, matches = (np.concatenate([h[k] for h in held]) for k in range(3))
                 best = likeliest(left, right, matches)
                 held, count = [(left[best], right[best], matches[best])], 0
-            d += 1
         left, right, matches = (np.concatenate([h[k] for h in held]) for k in range(3))
         best = likeliest(left, right, matches)
         a, b = node[left[best]], node[right[best]]
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(matches[best])], ["a", "b", "matches"])
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
+    return _cut(members, F.ceil(F.col("n") / BLOCK_MEMBERS), []).mapInArrow(lambda batches: _by_blocks(batches, compare), "a long, b long")
+
+
+def _shared(keys: np.ndarray, codes: np.ndarray, ends: np.ndarray, size: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Intersection sizes of the sets of row pairs; ``keys`` are row * size + code of all rows, in order."""
+    out = np.zeros(len(left), np.int64)
+    lengths = np.diff(ends)[right]
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(lengths) // LOOKUPS)) + 1).tolist(), len(left)]
+    for a, z in zip(cuts[:-1], cuts[1:]):
+        if a == z:
+            continue
+        asked = codes[gather(ends[right[a:z]], lengths[a:z])] + np.repeat(left[a:z] * size, lengths[a:z])
+        found = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        out[a:z] = np.add.reduceat((keys[found] == asked).astype(np.int64), np.cumsum(lengths[a:z]) - lengths[a:z])
+    return out
+
+
+def _joining_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): confirmed links that join components, for every pair of different components within the band groups.
+
+    Each block carries its members' full shingle sets, so that survivors of the test are confirmed in place. Pairs
+    that the block's links have already joined are passed over; a block yields fewer links than it has members.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text", BLOCK_BYTES // 3):
+            hashes, ends = shingle_sets(block.column("text"))
+            held = [hashes[a:z].tobytes() for a, z in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays([block.column("node"), pa.array(held, pa.binary())], ["node", "shingles"])
+
+    def compare(rows: pa.Table) -> pa.RecordBatch:
+        node, root = rows.column("node").to_numpy(), rows.column("root").to_pylist()
+        held = rows.column("shingles").to_pylist()
+        ends = np.concatenate([[0], np.cumsum([len(h) // 8 for h in held])])
+        size, lengths = None, np.diff(ends)
+        joined: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := joined.get(x, x)) != x:
+                joined[x] = joined.get(up, up)
+                x = up
+            return x
+
+        links = []
+        for left, right, _ in _candidates(rows):
+            apart = np.fromiter((find(root[x]) != find(root[y]) for x, y in zip(left.tolist(), right.tolist())), bool, len(left))
+            left, right = left[apart], right[apart]
+            if not len(left):
                 continue
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            last = [held.column(c)[-1].as_py() for c in ("band", "i", "j")]
-            same = np.ones(held.num_rows, bool)
-            for c, v in zip(("band", "i", "j"), last):
-                same &= held.column(c).to_numpy() == v
-            whole = int(np.argmax(same))  # rows of the last block are contiguous
-            if whole:
-                yield compare(held.slice(0, whole))
-                held = held.slice(whole)
-        if held is not None and held.num_rows:
-            yield compare(held)
-
-    spread = cut.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
-    return spread.mapInArrow(run, "a long, b long, matches long")
+            if size is None:  # most blocks have no survivor and need no codes
+                universe, codes = np.unique(np.frombuffer(b"".join(held), np.uint64), return_inverse=True)
+                size = len(universe)
+                keys = codes + np.repeat(np.arange(len(held)) * size, lengths)
+            both = _shared(keys, codes, ends, size, left, right)
+            good = 100 * both >= LINK_PERCENT * (lengths[left] + lengths[right] - both)
+            for x, y in zip(left[good].tolist(), right[good].tolist()):
+                p, q = find(root[x]), find(root[y])
+                if p != q:
+                    joined[p] = q
+                    links.append((int(node[x]), int(node[y])))
+        a, b = zip(*links) if links else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    wanted = durable(texts.join(members.select("node").distinct(), "node", "left_semi").mapInArrow(sets, "node long, shingles binary"))
+    held = durable(members.join(wanted, "node"))
+    sizes = held.groupBy("band").agg(F.sum(F.octet_length("shingles")).alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("bytes") / BLOCK_SETS))
+    cut = _cut(held.join(sizes, "band"), parts, ["shingles"])
+    return cut.mapInArrow(lambda batches: _by_blocks(batches, compare), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -284,15 +366,17 @@ def _rooted_duplicates(docs: DataFrame) -> DataFrame:
     texts = durable(rows.join(classes.select("key", "node").join(wanted, "node"), "key").groupBy("node").agg(F.first("text").alias("text")))
     links = durable(_linked(tried, texts))
     roots = components(links)
-    # Pairs of different components within the band groups, likeliest first.
-    for partners in PARTNERS:
-        crossing = _cross_pairs(_mixed_groups(members, roots, classes), partners).select("a", "b").distinct()
-        batch = durable(crossing.join(tried, ["a", "b"], "left_anti"))
-        if batch.isEmpty():
-            continue
-        tried = tried.unionByName(batch)
+    # Pairs of different components within the band groups: the likeliest first, then all that are left.
+    likely = _likely_pairs(_mixed_groups(members, roots, classes)).distinct()
+    batch = durable(likely.join(tried, ["a", "b"], "left_anti"))
+    if not batch.isEmpty():
         links = durable(links.unionByName(_linked(batch, texts)))
         roots = components(links)
+    mixed = durable(_mixed_groups(members, roots, classes))
+    if not mixed.isEmpty():
+        last = durable(_joining_links(mixed, texts))
+        if not last.isEmpty():
+            roots = components(links.unionByName(last))
     rooted = classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("node", "root", "component_id")
     grouped = some.select("key", "doc_id", "n_shingles", "node").join(named, "node").drop("node")

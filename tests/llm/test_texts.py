@@ -132,9 +132,47 @@ def test_blocks_larger_than_a_group_find_the_same_pairs(spark, monkeypatch):
         s[rng.integers(0, neardup.HASHES, 8)] ^= 1
         rows.append((i % 2, i, i, 50, s.tobytes(), [i % 2] * neardup.BANDS, 30))
     frame = spark.createDataFrame(rows, "band long, node long, root long, size long, sketch binary, bands array<long>, n long")
-    want = {(r["a"], r["b"]) for r in neardup._cross_pairs(frame, None).collect()}
+    monkeypatch.setattr(neardup, "PARTNERS", 60)
+    want = {(r["a"], r["b"]) for r in neardup._likely_pairs(frame).collect()}
     monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 7)
-    assert {(r["a"], r["b"]) for r in neardup._cross_pairs(frame, None).collect()} == want and len(want) > 50
+    assert {(r["a"], r["b"]) for r in neardup._likely_pairs(frame).collect()} == want and len(want) > 50
+
+
+def test_a_group_near_the_threshold(spark, monkeypatch):
+    """Hundreds of texts 60 to 85 % alike: brute-force components, in whole blocks and in small ones, with few rows."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(500):
+        words = list(base)
+        for place in rng.choice(150, int(rng.integers(1, 8)), replace=False):
+            words[place] = f"x{rng.integers(0, 400)}"
+        rows.append((i, " ".join(words)))
+    want, _ = near_components(rows)
+    assert 20 < len(set(want)) < 450
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    counted = []
+    joining = neardup._joining_links
+    monkeypatch.setattr(neardup, "_joining_links", lambda m, t: counted.append(neardup.durable(joining(m, t))) or counted[-1])
+    for members, sets in ((1024, 8 << 20), (60, 1 << 16)):
+        monkeypatch.setattr(neardup, "BLOCK_MEMBERS", members)
+        monkeypatch.setattr(neardup, "BLOCK_SETS", sets)
+        got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(frame).collect()}
+        assert [got[i] for i in range(500)] == want
+    assert counted and all(c.groupBy("a", "b").count().count() < 500 * 32 for c in counted)
+
+
+def test_shared_counts(monkeypatch):
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 90, rng.integers(0, 40))) for _ in range(30)]
+    ends, codes = np.concatenate([[0], np.cumsum(list(map(len, sets)))]), np.concatenate(sets)
+    left, right = rng.integers(0, 30, 200), rng.integers(0, 30, 200)
+    some = np.array([len(sets[r]) > 0 for r in right])
+    left, right = left[some], right[some]
+    keys = codes + np.repeat(np.arange(30) * 90, np.diff(ends))
+    for lookups in (1, 50, 1 << 21):
+        monkeypatch.setattr(neardup, "LOOKUPS", lookups)
+        assert neardup._shared(keys, codes, ends, 90, left, right).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(left, right)]
 
 
 def test_sequential_test_keeps_similar_pairs():
