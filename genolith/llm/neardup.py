@@ -321,14 +321,30 @@ def _joining_links(members: DataFrame, texts: DataFrame) -> DataFrame:
         a, b = zip(*links) if links else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    wanted = durable(texts.join(members.select("node").distinct(), "node", "left_semi").mapInArrow(sets, "node long, shingles binary"))
-    held = durable(members.join(wanted, "node"))
-    sizes = held.groupBy("band").agg(F.sum(F.octet_length("shingles")).alias("bytes"))
+    # Sets travel only with members that a test has left a partner.
+    contested = durable(_contested(members).distinct())
+    if contested.isEmpty():
+        return members.sparkSession.createDataFrame([], "a long, b long")
+    held = durable(members.join(contested, "node"))
+    sizes = held.groupBy("band").agg((F.sum("size") * 8).alias("bytes"))
+    wanted = durable(texts.join(contested, "node", "left_semi").mapInArrow(sets, "node long, shingles binary"))
     parts = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("bytes") / BLOCK_SETS))
-    cut = _cut(held.join(sizes, "band"), parts, ["shingles"])
+    cut = _cut(held.join(sizes, "band").join(wanted, "node"), parts, ["shingles"])
     return cut.mapInArrow(lambda batches: _by_blocks(batches, compare), "a long, b long")
 
 
+def _contested(members: DataFrame) -> DataFrame:
+    """(node) of the members with a partner of another component that survives the test, once a block."""
+
+    def compare(rows: pa.Table) -> pa.RecordBatch:
+        node, some = rows.column("node").to_numpy(), np.zeros(rows.num_rows, bool)
+        for left, right, _ in _candidates(rows):
+            some[left] = some[right] = True
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(node[some]))], ["node"])
+
+    return _cut(members, F.ceil(F.col("n") / BLOCK_MEMBERS), []).mapInArrow(lambda batches: _by_blocks(batches, compare), "node long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """key, doc_id, n_shingles, component_id and kept of every document.
 
