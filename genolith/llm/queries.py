@@ -53,8 +53,9 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 @query("op3_warc_archive", WARC_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    directory, folder = warc.archive(spark, read(spark, sf_dir, "pages"))
-    records = warc.read_records(warc.scan_index(directory, folder), folder, payloads=False)
+    pages = read(spark, sf_dir, "pages")
+    directory, folder = warc.archive(spark, pages)
+    records = warc.read_records(warc.lookup_keys(pages, directory, folder), folder, payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -150,7 +150,7 @@ def write_archives(captures: DataFrame, folder: str, archive_bytes: int = ARCHIV
 def build_index(captures: DataFrame, folder: str, entries: int = BLOCK_ENTRIES) -> DataFrame:
     """Sort the captures into compressed blocks in ``folder``; returns the directory, one row per block.
 
-    Ranges are cut by key and place, so the captures of one URL may span blocks and files.
+    Every index file has its part of the directory beside it. Ranges are cut by key and place, so the captures of one URL may span blocks and files.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,6 +178,8 @@ def build_index(captures: DataFrame, folder: str, entries: int = BLOCK_ENTRIES)
             flush()
         if out is not None:
             out.close()
+            with store.open_output_stream(f"{base}/{name}.dir", compression=None) as sparse:
+                sparse.write(zlib.compress("\n".join(f"{first} {last} {place} {size}" for first, last, _, place, size, _ in found).encode()))
         columns = list(zip(*found)) or [()] * 6
         kinds = [pa.string()] * 3 + [pa.int64()] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["first_key", "last_key", "file", "offset", "length", "entries"])
@@ -212,41 +214,70 @@ def scan_index(directory: DataFrame, folder: str) -> DataFrame:
 
 
 def lookup(urls: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
-    """url and the index entries of its captures, for the distinct URLs of a column ``url``.
+    """url and the index entries of its captures, for the distinct URLs of a column ``url`` (null asks nothing)."""
+    asked = urls.select("url").where("url is not null").distinct()
+    return _search(asked.mapInArrow(_with_key, "url string, key string"), directory, folder)
 
-    Level one, the first key of every index file (as many as index tasks), is
-    bisected where the URL is; level two, the file's block directory, goes to the
-    file's URLs in one group per file and part of the URLs.
+
+def lookup_keys(urls: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
+    """The index entries under the keys of a column ``url``, each entry once; null has the empty key, as in the index."""
+    asked = urls.select("url").distinct().mapInArrow(_with_key, "url string, key string").select("key").distinct()
+    return _search(asked.select(F.col("key").alias("url"), "key"), directory, folder).drop("url")
+
+
+def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [url_key(u) for u in batch.column("url").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("url"), pa.array(keys, pa.string())], ["url", "key"])
+
+
+def _search(asked: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
+    """(url, key) rows with the entries of their key.
+
+    Level one, the key range of every index file (as many as index tasks), is
+    bisected where the key is; level two, a file's directory, in the task that has
+    the file's keys in order, so that each block is read once for all of them. The
+    entries of a popular key lie in as many files as it fills and leave in batches.
     """
     tops = sorted(directory.groupBy("file").agg(F.min("first_key"), F.max("last_key")).collect(), key=lambda r: (r[1], r[2]))
     files, firsts, lasts = [r[0] for r in tops], [r[1] for r in tops], [r[2] for r in tops]
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(u, url_key(u), files[i]) for u in batch.column("url").to_pylist()
-                     for i in range(bisect_left(lasts, url_key(u)), bisect_right(firsts, url_key(u)))]
+            found = [(url, key, files[i]) for url, key in zip(batch.column("url").to_pylist(), batch.column("key").to_pylist())
+                     for i in range(bisect_left(lasts, key), bisect_right(firsts, key))]
             columns = list(zip(*found)) or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["url", "key", "file"])
 
-    blocks = directory.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("first_key", "last_key", "offset", "length"))).alias("blocks"))
-    routed = urls.select("url").where("url is not null").distinct().mapInArrow(route, "url string, key string, file string")
+    def batch_of(found: list) -> pa.RecordBatch:
+        columns = list(zip(*found)) or [()] * 6
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["url", "key", "page_id", "file", "offset", "length"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _open(folder)
+        name, held, found = None, None, []
         for batch in batches:
-            found = []
-            for row in batch.to_pylist():
-                parts = row["blocks"]
-                at = bisect_left([b["last_key"] for b in parts], row["key"])
-                while at < len(parts) and parts[at]["first_key"] <= row["key"]:
-                    block = _entries(store, base, row["file"], parts[at]["offset"], parts[at]["length"])
-                    found += [(row["url"], *e) for e in block if e[0] == row["key"]]
+            for url, key, file in zip(*(batch.column(c).to_pylist() for c in ("url", "key", "file"))):
+                if file != name:
+                    with store.open_input_file(f"{base}/{file}.dir") as f:
+                        parts = [(first, last, int(at), int(size)) for first, last, at, size in
+                                 (line.split(" ") for line in zlib.decompress(f.read()).decode().split("\n"))]
+                    ends, name, held = [p[1] for p in parts], file, None
+                at = bisect_left(ends, key)
+                while at < len(parts) and parts[at][0] <= key:
+                    if held != at:
+                        block = list(_entries(store, base, file, *parts[at][2:]))
+                        keys, held = [e[0] for e in block], at
+                    found += [(url, *e) for e in block[bisect_left(keys, key):bisect_right(keys, key)]]
                     at += 1
-            columns = list(zip(*found)) or [()] * 6
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["url", "key", "page_id", "file", "offset", "length"])
+                    if len(found) >= BLOCK_ENTRIES:
+                        yield batch_of(found)
+                        found = []
+        yield batch_of(found)
 
-    return routed.join(blocks, "file").mapInArrow(search, "url string, " + CAPTURE_SCHEMA)
+    routed = asked.mapInArrow(route, "url string, key string, file string")
+    return routed.repartitionByRange("file", "key").sortWithinPartitions("file", "key").mapInArrow(search, "url string, " + CAPTURE_SCHEMA)
 
 
 def read_records(entries: DataFrame, folder: str, payloads: bool = True) -> DataFrame:

@@ -186,7 +186,7 @@ def test_archive_round_trip(spark):
             (10, "http://c.net", None), (None, "http://c.net", body), (11, "http://c.net", "é" * 60), (12, "http://c.net/\x00", "y" * 100 + "\r\n\r\n\x00")]
     frame = spark.createDataFrame([(*r, 1, "f", 2) for r in rows], "page_id long, url string, html string, offset int, file string, digest int")
     directory, folder = warc.archive(spark, frame)
-    got = warc.read_records(warc.scan_index(directory, folder), folder).collect()
+    got = warc.read_records(warc.lookup_keys(frame, directory, folder), folder).collect()
     want = []
     for page_id, _, html in rows:
         data = (html or "").encode()
@@ -208,8 +208,14 @@ def test_index_of_many_blocks(spark):
     urls = spark.createDataFrame([(u,) for u in sorted({r[1] for r in rows})], "url string")
     found = warc.read_records(warc.lookup(urls, directory, folder), folder).collect()
     assert sorted((r["page_id"], r["url"], bytes(r["payload"]).decode()) for r in found) == rows
+    # Every entry once, though a key spans blocks and files and several URLs share it.
+    asked = urls.union(spark.createDataFrame([("HTTPS://H1.org/same#x",), (None,), ("http://h9.org/",)], "url string"))
+    assert sorted(r["page_id"] for r in warc.lookup_keys(asked, directory, folder).collect()) == list(range(400))
+    some = warc.lookup_keys(spark.createDataFrame([("http://h1.org/same",)] * 3, "url string"), directory, folder).collect()
+    assert sorted(r["page_id"] for r in some) == [r[0] for r in rows if r[1] == "http://h1.org/same"]
     none = frame.limit(0)
     directory, folder = warc.archive(spark, none)
+    assert warc.lookup_keys(none, directory, folder).count() == 0
     assert warc.read_records(warc.scan_index(directory, folder), folder).count() == 0
 
 
