@@ -9,7 +9,7 @@ from genolith.checks.coloc_checks import BIOM
 from genolith.checks.registry import genotypes, query
 from genolith.operators import genotypes as gt
 from genolith.session import scratch_table
-from genolith.sources import sinks, tables, vcf
+from genolith.sources import blockgzip, sinks, tables, vcf
 
 PEOPLE = "SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS segment FROM customer"
 
@@ -40,6 +40,33 @@ def _(spark, d):
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("gt"), F.lit(0)).alias("ac"), F.count("gt").alias("n_called"), F.sum("dp").alias("dp"), F.sum("gq").alias("gq"))
 
 
+BLOCK_SQL = """SELECT v.contig, v.pos, v.ref, v.alt, count(*) AS n, cast(coalesce(sum(gt), 0) AS BIGINT) AS ac, count(gt) AS n_called, cast(sum(dp) AS BIGINT) AS dp
+  FROM fx_entries e JOIN fx_variants v USING (variant_key){} GROUP BY ALL"""
+
+
+def _block_vcf(spark, d, region=None):
+    """Calls of the genotypes written as block-gzip files; those of a region through the block index."""
+    lines, header = sinks.vcf_lines(genotypes(spark, d))
+    spread = lines.repartitionByRange("contig", "pos").sortWithinPartitions("contig", "pos", "ref", "alt")
+    files = blockgzip.write_block_gzip(spread, [sinks.META, header], scratch_table(spark, "vcf"))
+    ranges = None if region is None else blockgzip.ranges_of(blockgzip.block_index(files), *region)
+    _, calls = vcf.read_block_vcf(files, ranges)
+    if region is not None:
+        calls = calls.where((F.col("contig") == region[0]) & F.col("pos").between(region[1], region[2]))
+    return gt.split_multi(calls.drop("info")).groupBy("contig", "pos", "ref", "alt").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("gt"), F.lit(0)).alias("ac"), F.count("gt").alias("n_called"), F.sum("dp").alias("dp"))
+
+
+@query("src2_block_gzip", BLOCK_SQL.format(""))
+def _(spark, d):
+    return _block_vcf(spark, d)
+
+
+@query("src2_block_region", BLOCK_SQL.format(" WHERE v.contig = 'chr2' AND v.pos BETWEEN 1 AND 100000000"))
+def _(spark, d):
+    return _block_vcf(spark, d, ("chr2", 1, 100_000_000))
+
+
 # A call set with two alternate alleles, three samples and typed fields, spelled out per line; and what the split must give.
 MULTI = "SELECT v.contig, v.pos, v.ref, v.alt, concat(v.ref, v.alt) AS alt2, p_partkey AS k, p_size AS z FROM part JOIN fx_variants v ON v.variant_key = p_partkey"
 ALLELE = {"i": "least((k + s) % 3, (k + 2 * s) % 3)", "j": "greatest((k + s) % 3, (k + 2 * s) % 3)"}

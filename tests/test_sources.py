@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from genolith.operators import genotypes as gt
-from genolith.sources import sinks, tables, vcf
+from genolith.sources import blockgzip, sinks, tables, vcf
 
 VCF = """##fileformat=VCFv4.2
 #CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1\tS2\tS3
@@ -86,3 +86,40 @@ def test_every_shard_has_a_header(spark, tmp_path, genotypes):
             assert places == sorted(places)
             lines += len(text) - 2
     assert lines == 60
+
+
+@pytest.mark.parametrize("split_bytes", [700, 5000, 40_000, 1 << 24])
+def test_block_gzip_lines_survive_every_cut(spark, tmp_path, monkeypatch, split_bytes):
+    monkeypatch.setattr(blockgzip, "BLOCK_TEXT", 900)
+    lines = [f"line {i} " + "xyz"[i % 3] * (i * 37 % 400) for i in range(600)] + ["a" * 20_000, "", "é" * 3000, ""]
+    frame = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+    files = blockgzip.write_block_gzip(frame, ["# head", "# names"], f"file://{tmp_path}/v")
+    name, size = files.first()
+    assert gzip.open(name.removeprefix("file://"), "rt").read().split("\n") == ["# head", "# names", *lines, ""]
+    ranges = blockgzip.splits(files, split_bytes)
+    assert ranges.count() == -(-size // split_bytes)
+    got = [r["value"] for r in blockgzip.read_lines(ranges).collect()]
+    assert sorted(got) == sorted(["# head", "# names", *lines])
+    assert [r["value"] for r in blockgzip.read_heads(files).collect()] == ["# head", "# names"]
+
+
+def test_block_gzip_vcf(spark, tmp_path):
+    head = ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1\tS2"]
+    lines = [f"{1 + i // 6000}\t{10 * i}\trs{i}\tA\tC\t.\tPASS\tAC={i}\tGT:DP:GQ\t0/{i % 2}:{i % 50}:{i * 7 % 99}\t./.:.:." for i in range(12_000)]
+    folder = f"file://{tmp_path}/v"
+    frame = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+    files = blockgzip.write_block_gzip(frame, head, folder)
+    (tmp_path / "x.vcf").write_text("\n".join([*head, *lines]) + "\n")
+    plain = vcf.read_vcf(spark, str(tmp_path / "x.vcf"))[1]
+    whole = vcf.read_vcf(spark, folder)[1]
+    assert whole.exceptAll(plain).count() == 0 and plain.exceptAll(whole).count() == 0
+    index = blockgzip.block_index(files, split_bytes=20_000)
+    ranges = blockgzip.ranges_of(index, "2", 70_000, 80_000)
+    assert 0 < ranges.count() < blockgzip.splits(files, 20_000).count() / 3
+    inside = lambda calls: calls.where("contig = 'chr2' and pos between 70000 and 80000").drop("info")
+    assert sorted(map(str, inside(vcf.read_block_vcf(files, ranges)[1]).collect())) == sorted(map(str, inside(plain).collect()))
+    assert inside(plain).count() == 2002
+    assert vcf.read_block_vcf(files, blockgzip.ranges_of(index, "9", 1, 2))[1].count() == 0
+    (tmp_path / "v" / "y.vcf").write_text("\n".join([*head, *lines[:2]]) + "\n")
+    with pytest.raises(ValueError, match="mixes"):
+        vcf.read_vcf(spark, folder)
