@@ -255,9 +255,9 @@ class _Partners:
             if d < self.least[d + room]:
                 self.least[d + room] = d
 
-    def find(self, n: int) -> tuple[int, tuple[int, ...]] | None:
-        """(bin, pieces it gives up) that a piece of size ``n`` fills best."""
-        for v in (np.flatnonzero(self.least[n:] < n) + n).tolist():
+    def find(self, n: int, upto: int) -> tuple[int, tuple[int, ...]] | None:
+        """(bin, pieces it gives up) that a piece of size ``n`` fills best, among those left with less than ``upto`` room."""
+        for v in (np.flatnonzero(self.least[n:n + upto] < n) + n).tolist():
             heap = self.heaps[v]
             while heap and self.version[heap[0][1]] != heap[0][2]:
                 heapq.heappop(heap)
@@ -267,14 +267,16 @@ class _Partners:
         return None
 
 
-def improve(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
+def improve(lengths: np.ndarray, bins: np.ndarray, capacity: int, steps: list[tuple[int, int, int]] | None = None) -> np.ndarray:
     """Local search over the underfull bins; returns the bins of the items.
 
     A bin is emptied, emptiest first: each of its pieces goes to the bin that it
     fills best, by a move or in exchange for one or two pieces that are together
-    shorter. Every step adds to what the other bins hold, so the search ends; a bin
-    whose pieces all leave is gone, and the displaced pieces come back to the bin
-    being emptied. All underfull bins are gone through until that empties none.
+    shorter, if the other bin then holds more than this one did. So every step adds
+    to the sum of squared fills (by 2 * change * (other + change - own)) and the search
+    ends; a bin whose pieces all leave is gone, and the displaced pieces come back to
+    the bin being emptied. All underfull bins are gone through until no step is left.
+    ``steps`` takes (own fill, other fill, change) of every step.
     """
     content: dict[int, list[int]] = {}
     for i, b in enumerate(bins.tolist()):
@@ -285,9 +287,9 @@ def improve(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
     partners = _Partners(capacity)
     for b, c in content.items():
         partners.put(b, c, size, capacity - fill[b])
-    before = len(content) + 1
-    while least < len(content) < before:
-        before = len(content)
+    gained = True
+    while gained and len(content) > least:
+        gained = False
         for source in sorted((b for b in content if fill[b] < capacity), key=lambda b: (fill[b], b)):
             if len(content) == least:
                 break
@@ -299,7 +301,7 @@ def improve(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
             while active and own:
                 active = False
                 for i in sorted(own, key=lambda i: -size[i]):
-                    found = partners.find(size[i])
+                    found = partners.find(size[i], capacity - fill[source])
                     if found is None:
                         continue
                     b, out = found
@@ -307,10 +309,12 @@ def improve(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
                     own.extend(out)
                     content[b] = [k for k in content[b] if k not in out] + [i]
                     change = size[i] - sum(size[k] for k in out)
+                    if steps is not None:
+                        steps.append((fill[source], fill[b], change))
                     fill[b] += change
                     fill[source] -= change
                     partners.put(b, content[b], size, capacity - fill[b])
-                    active = True
+                    active = gained = True
                     break
             if own:
                 partners.put(source, own, size, capacity - fill[source])
