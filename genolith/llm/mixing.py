@@ -149,8 +149,11 @@ def _few(table: DataFrame, limit: int = 100_000) -> bool:
 
 
 def mix(docs: DataFrame, weights: list[float], share: float = 1.5, epochs: int = 2, block: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, size, source, source_size, target and taken of every document.
+    """doc_id, size, source, source_size, target, taken and place in the schedule of every document.
 
+    The place is the first and last slot that hold words of the document (null if
+    none do) and how many pieces of it are in slots; what is taken follows from the
+    targets, the slots from the points.
     Null text has no words. Null sources form one source, last in the order.
     Rows with equal ids are documents of their own; documents without words take
     part with taken 0. An empty table gives no rows. Extra columns are ignored.
@@ -169,7 +172,8 @@ def _mixed(docs: DataFrame, weights: list[float], share: float, epochs: int, blo
     placed = durable(streams(sized))
     pieces = mix_pieces(placed, schedule(targets, block), targets, block)
     return pieces.groupBy("source", "cell", "pos", "key", "doc_id", "size", "source_size", "target").agg(
-        F.coalesce(F.sum("length"), F.lit(0)).alias("taken")).drop("cell", "pos")
+        F.coalesce(F.sum("length"), F.lit(0)).alias("taken"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"),
+        F.count("slot").alias("slots")).drop("cell", "pos")
 
 
 def _key():

@@ -109,7 +109,7 @@ MIX_WEIGHTS = [3.0, 1.0, 2.0]
 @query("op9_source_mix")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"), MIX_WEIGHTS)
-    return mixed.select("doc_id", "size", "source", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source", "source_size", "target", "taken", "first_slot", "last_slot", "slots")
 
 
 @query("op10_best_fit_packing")

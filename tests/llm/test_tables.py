@@ -88,6 +88,18 @@ def test_local_search_takes_all_underfull_sequences():
     assert len(fills) <= len(set(first.tolist())) - 12
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(5, 60), min_size=1, max_size=80), st.integers(60, 130))
+def test_every_step_of_the_local_search_adds_to_the_squared_fill(lengths, capacity):
+    lengths = np.array(lengths)
+    first, steps = packing.best_fit(lengths, capacity), []
+    after = packing.improve(lengths, first, capacity, steps)
+    gains = [(other + change) ** 2 + (own - change) ** 2 - other ** 2 - own ** 2 for own, other, change in steps]
+    assert all(g > 0 for g in gains) and all(other + change <= capacity for _, other, change in steps)
+    squares = [sum(f ** 2 for f in Counter(np.repeat(b, lengths).tolist()).values()) for b in (first, after)]
+    assert squares[1] - squares[0] == sum(gains)
+
+
 def test_underfull_sequences_meet_those_of_other_groups(spark):
     """A first round settles hardly a sequence; one after another empties some."""
     items = [(i, int(n)) for i, n in enumerate(np.random.default_rng(0).integers(300, 1500, 600))]
@@ -140,6 +152,33 @@ def test_mix_of_sources(docs):
     assert all(r["source_size"] == size[r["source"]] for r in rows)
 
 
+def test_the_points_of_the_schedule_order_the_mix(docs, monkeypatch):
+    """Each document's slots are those that its source's blocks hold by the golden-ratio points; other points move them and take the same."""
+    rows = {r["doc_id"]: r for r in mixing.mix(docs, queries.MIX_WEIGHTS, block=64).collect()}
+    targets = {r["source"]: r["target"] for r in rows.values()}
+    quota = {s: math.ceil(round(t) / 64) for s, t in targets.items()}
+    total, upto, at = sum(targets.values()), [], 0.0
+    for s in sorted(targets):
+        at += targets[s] / total
+        upto.append((at, s))
+    held, n = defaultdict(list), math.ceil(total / 64)
+    for i in range(n):
+        point = i * mixing.GOLDEN % 1.0
+        s = next((s for u, s in upto if point < u), None)
+        if s is not None and len(held[s]) < quota[s]:
+            held[s].append(i)
+    for s in targets:
+        held[s] += [n] * (quota[s] - len(held[s]))
+        slots = [r[k] for r in rows.values() if r["source"] == s and r["slots"] for k in ("first_slot", "last_slot")]
+        assert set(slots) <= set(held[s]) and min(slots) == held[s][0] and max(slots) == held[s][-1]
+    for r in rows.values():
+        assert (r["slots"] > 0) == (r["taken"] > 0) == (r["first_slot"] is not None)
+    monkeypatch.setattr(mixing, "GOLDEN", 0.5)
+    other = {r["doc_id"]: r for r in mixing.mix(docs, queries.MIX_WEIGHTS, block=64).collect()}
+    assert {d: r["taken"] for d, r in other.items()} == {d: r["taken"] for d, r in rows.items()}
+    assert any(r["first_slot"] != rows[d]["first_slot"] for d, r in other.items())
+
+
 def test_any_stretch_of_the_schedule_holds_the_shares(spark):
     targets = spark.createDataFrame([("a", 300_000, 450_000.0), ("b", 200_000, 150_000.0), (None, 100_000, 200_000.0)], "source string, source_size long, target double")
     rows = sorted((r["slot"], r["source"] or "~", r["rank"]) for r in mixing.schedule(targets, 100).collect())
