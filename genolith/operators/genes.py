@@ -21,7 +21,7 @@ from genolith.operators.association import ScoreModel, score_sums, score_test
 from genolith.operators.blocks import TILE, from_bytes, map_rows, sample_tiles, sum_blocks, to_bytes
 from genolith.operators.intervals import range_join
 from genolith.operators.ranking import adjust_p
-from genolith.session import broadcast_if_small, durable
+from genolith.session import broadcast_if_small, durable, keep_listed
 
 CHUNK = 256
 
@@ -33,11 +33,15 @@ def gene_variants(variants: DataFrame, genes: DataFrame) -> DataFrame:
 
 
 def gene_burden(entries: DataFrame, members: DataFrame, subjects: DataFrame) -> DataFrame:
-    """Alternate alleles per gene and sample: (gene_id, sample_key, burden)."""
+    """Alternate alleles per gene and sample: (gene_id, sample_key, burden).
+
+    Only the calls of variants inside a gene are read further, and the calls are never the broadcast side.
+    """
+    members = durable(members)
     return (
-        entries.where(F.col("gt").isNotNull())
-        .join(members, "variant_key")
-        .join(subjects.select("sample_key"), "sample_key", "left_semi")
+        keep_listed(entries.where(F.col("gt").isNotNull()), members, "variant_key")
+        .join(broadcast_if_small(members), "variant_key")
+        .join(broadcast_if_small(subjects.select("sample_key")), "sample_key", "left_semi")
         .groupBy("gene_id", "sample_key")
         .agg(F.sum("gt").alias("burden"))
     )
@@ -58,7 +62,7 @@ def burden_scores(entries: DataFrame, members: DataFrame, model: ScoreModel) ->
     """
     # Only variants inside a gene are read further.
     members = durable(members)
-    entries = entries.join(broadcast_if_small(members.select("variant_key").distinct()), "variant_key", "left_semi")
+    entries = keep_listed(entries, members, "variant_key")
     mean = durable(members.join(score_test(entries, model).select("variant_key", "score", "freq"), "variant_key"))
     missing = (
         entries.where(F.col("gt").isNotNull()).join(broadcast_if_small(mean.select("variant_key", "gene_id", "freq")), "variant_key")
@@ -183,7 +187,7 @@ def smmat(entries: DataFrame, variants: DataFrame, genes: DataFrame, model: Scor
     the genes.
     """
     members = durable(gene_variants(variants, genes))
-    listed = entries.join(broadcast_if_small(members.select("variant_key").distinct()), "variant_key", "left_semi")
+    listed = keep_listed(entries, members, "variant_key")
     stats = durable(score_sums(listed, model))
     h = durable(residual_tiles(listed, members, stats.select("variant_key", "mean", "zg"), model, tile, chunk))
     mat = lambda row: from_bytes(row.h).reshape(row.n, -1)

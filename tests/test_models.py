@@ -3,7 +3,9 @@ import math
 import numpy as np
 import pytest
 from conftest import genotype_frames, random_genotypes
+from pyspark.sql import functions as F
 
+from genolith import session
 from genolith.operators import association as assoc, genes, meta, models, ridge
 
 
@@ -176,3 +178,21 @@ def test_factor_and_yes_no_covariates(spark):
 
     resid = score_model(df, "y", model).table.toPandas().set_index("sample_key")["resid"].sort_index() * model.dispersion
     assert np.allclose(resid, np.array([r[1] for r in rows[:120]]) - x @ want)
+
+
+@pytest.mark.parametrize("listed", [10_000, 3])
+def test_gene_burden_never_broadcasts_the_calls(spark, monkeypatch, listed):
+    """Unfolded calls look smaller to the planner than the gene list, but only the list may go to the driver."""
+    monkeypatch.setattr(session, "LISTED_KEYS", listed, raising=False)
+    calls = spark.range(30).withColumnRenamed("id", "variant_key").withColumn("sample_key", F.explode(F.sequence(F.lit(0), F.lit(19)).cast("array<bigint>")))
+    calls = calls.withColumn("gt", F.when((F.col("variant_key") + F.col("sample_key")) % 7 != 0, ((F.col("variant_key") * F.col("sample_key")) % 3).cast("int")))
+    members = spark.createDataFrame([(f"g{k % 4}" + "x" * 5000, k) for k in range(24)], "gene_id string, variant_key bigint")
+    people = spark.range(15).withColumnRenamed("id", "sample_key")
+    out = genes.gene_burden(calls, members, people)
+    assert "BuildLeft" not in out._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for k in range(24):
+        for s in range(15):
+            if (k + s) % 7:
+                want[f"g{k % 4}", s] = want.get((f"g{k % 4}", s), 0) + k * s % 3
+    assert {(r["gene_id"][:2], r["sample_key"]): r["burden"] for r in out.collect()} == want
