@@ -88,6 +88,27 @@ def test_every_shard_has_a_header(spark, tmp_path, genotypes):
     assert lines == 60
 
 
+def test_calls_are_put_to_text_once(spark, genotypes, request):
+    """Genome ranges of the shards must not make all lines first, only to look at their places."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with more calls than these
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
+    from genolith.operators.genotypes import GenotypeSet
+    _, variants, people, entries = genotypes
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+
+    calls = entries.repartition(4, "variant_key").withColumns({"dp": F.udf(counted, "int")(F.col("sample_key").cast("int")), "gq": F.lit(50)})
+    lines, _ = sinks.vcf_shards(GenotypeSet(variants, people, calls), 4)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "shufflepartitionidpassthrough" in plan and not any("rangepartitioning" in x and "contig" in x for x in plan.splitlines())
+    got = [r["value"].split("\t") for r in lines.collect()]
+    assert seen.value == entries.count()
+    assert len(got) == 60 and all([x.split(":")[1] for x in line[9:]] == [str(i) for i in range(40)] for line in got)
+
+
 @pytest.mark.parametrize("split_bytes", [700, 5000, 40_000, 1 << 24])
 def test_block_gzip_lines_survive_every_cut(spark, tmp_path, monkeypatch, split_bytes):
     monkeypatch.setattr(blockgzip, "BLOCK_TEXT", 900)
