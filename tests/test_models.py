@@ -196,3 +196,17 @@ def test_gene_burden_never_broadcasts_the_calls(spark, monkeypatch, listed):
             if (k + s) % 7:
                 want[f"g{k % 4}", s] = want.get((f"g{k % 4}", s), 0) + k * s % 3
     assert {(r["gene_id"][:2], r["sample_key"]): r["burden"] for r in out.collect()} == want
+
+
+def test_few_listed_keys_are_seen_before_rows_are_unfolded(spark, monkeypatch):
+    calls = spark.range(30).withColumnRenamed("id", "variant_key").withColumn("sample_key", F.explode(F.sequence(F.lit(0), F.lit(19))))
+    keys = spark.createDataFrame([(k % 14,) for k in range(20)] + [(None,)], "variant_key bigint")
+    want = sorted((k, s) for k in range(14) for s in range(20))
+    few = session.keep_listed(calls, keys, "variant_key")
+    above, below = few._jdf.queryExecution().optimizedPlan().toString().split("Generate", 1)
+    assert "Join" not in above and "Filter" in below
+    monkeypatch.setattr(session, "LISTED_KEYS", 13)
+    many = session.keep_listed(calls, keys, "variant_key")
+    assert "LeftSemi" in many._jdf.queryExecution().optimizedPlan().toString()
+    for kept in (few, many):
+        assert sorted((r["variant_key"], r["sample_key"]) for r in kept.collect()) == want
