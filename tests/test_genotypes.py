@@ -87,3 +87,51 @@ def test_typed_filter(spark, genotypes):
 def test_trait_pairs(spark):
     pairs = samples.trait_pairs(spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "trait string"))
     assert sorted(map(tuple, pairs.collect())) == [("a", "b"), ("a", "c"), ("b", "c")]
+
+
+@pytest.mark.parametrize("by", [[], ["sample_key"], ["variant_key"], ["variant_key", "sample_key"]])
+def test_paired_states_match_a_full_join(spark, by):
+    """Scattered, repeated and missing entries, variants of one set only or without a key, samples of one set only."""
+    rng = np.random.default_rng(5)
+
+    def call_set(n, people, sites):
+        rows = {(int(v), int(s)) for v, s in zip(rng.choice(sites, n), rng.choice(people, n))}
+        rows = [(v, s, [None, 0, 1, 2][rng.integers(4)]) for v, s in rows]
+        rows += [(v, s, [None, 0, 1, 2][rng.integers(4)]) for v, s, _ in rows[:20]] + [(None, int(people[0]), 1), (None, int(people[3]), None)]
+        order = rng.permutation(len(rows))
+        return [rows[i] for i in order]
+
+    dense = [(100, s, s % 3) for s in range(40)]
+    a, b = call_set(300, np.arange(40), np.arange(30)) + dense, call_set(300, np.arange(3, 50), np.arange(10, 45)) + dense + dense[5:9]
+    common = {s for _, s, _ in a} & {s for _, s, _ in b}
+    state = lambda gt: 1 if gt is None else gt + 2
+    want = {}
+    keys = {(v, s) for v, s, _ in a + b if s in common}
+    for v, s in keys:
+        left, right = ([state(g) for w, p, g in rows if (w, p) == (v, s)] for rows in (a, b))
+        if v is None:
+            met = [(x, 0) for x in left] + [(0, y) for y in right]
+        else:
+            met = [(x, y) for x in left or [0] for y in right or [0]]
+        for pair in met:
+            k = (*[{"variant_key": v, "sample_key": s}[c] for c in by], *pair)
+            want[k] = want.get(k, 0) + 1
+    frames = [spark.createDataFrame(rows, "variant_key bigint, sample_key bigint, gt int") for rows in (a, b)]
+    got = callsets.paired_states(*frames, by, tile=16)
+    assert {tuple(r)[:-1]: r["n"] for r in got.collect()} == want
+    assert got.count() == len(want)
+
+
+def test_paired_calls_are_packed_before_the_shuffle(spark, genotypes):
+    _, _, _, entries = genotypes
+    out = callsets.paired_states(entries, entries, ["sample_key"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan and plan.count("RepartitionByExpression") == 1
+    below = plan[plan.index("RepartitionByExpression"):]
+    assert below.count("MapInArrow") == 2
+
+
+def test_calls_out_of_range_are_refused(spark):
+    bad = spark.createDataFrame([(1, 1, 3)], "variant_key bigint, sample_key bigint, gt int")
+    with pytest.raises(Exception, match="0, 1, 2 or null"):
+        callsets.paired_states(bad, bad).collect()
