@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from genolith.llm.common import BLOCK_BYTES, WORD, blocks, gather, mix, row_key, shingle_hashes, text_or_empty, words_of
 from genolith.operators.graph import components
-from genolith.session import durable
+from genolith.session import durable, in_few_tasks
 
 BANDS, ROWS = 32, 4
 #: Hashes of a sketch; the first BANDS * ROWS make the bands.
@@ -39,6 +39,8 @@ LINK_PERCENT = 75
 BLOCK_MEMBERS = 1024
 #: Partners of other components that a class gets per block before groups are settled whole.
 PARTNERS = 4
+#: Rows of comparison blocks that a task compares at least.
+TASK_MEMBERS = 8 * BLOCK_MEMBERS
 #: Bytes of shingle sets that one comparison block holds, and set elements that are looked up at once.
 BLOCK_SETS, LOOKUPS = 8 << 20, 1 << 21
 
@@ -329,7 +331,9 @@ def _joining_links(members: DataFrame, texts: DataFrame) -> DataFrame:
     sizes = held.groupBy("band").agg((F.sum("size") * 8).alias("bytes"))
     wanted = durable(texts.join(contested, "node", "left_semi").mapInArrow(sets, "node long, shingles binary"))
     parts = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("bytes") / BLOCK_SETS))
-    cut = _cut(held.join(sizes, "band").join(wanted, "node"), parts, ["shingles"])
+    sized = held.join(sizes, "band")
+    rows = sized.agg(F.sum(parts)).first()[0] or 0
+    cut = in_few_tasks(_cut(sized.join(wanted, "node"), parts, ["shingles"]), rows, TASK_MEMBERS)
     return cut.mapInArrow(lambda batches: _by_blocks(batches, compare), "a long, b long")
 
 
@@ -342,7 +346,9 @@ def _contested(members: DataFrame) -> DataFrame:
             some[left] = some[right] = True
         return pa.RecordBatch.from_arrays([pa.array(np.unique(node[some]))], ["node"])
 
-    return _cut(members, F.ceil(F.col("n") / BLOCK_MEMBERS), []).mapInArrow(lambda batches: _by_blocks(batches, compare), "node long")
+    parts = F.ceil(F.col("n") / BLOCK_MEMBERS)
+    cut = in_few_tasks(_cut(members, parts, []), members.agg(F.sum(parts)).first()[0] or 0, TASK_MEMBERS)
+    return cut.mapInArrow(lambda batches: _by_blocks(batches, compare), "node long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -366,33 +372,32 @@ def _rooted_duplicates(docs: DataFrame) -> DataFrame:
                                                F.first("sketch").alias("sketch"), F.first("bands").alias("bands")))
     every = classes.select("node", F.explode("bands").alias("band"))
     # What joins by a possibly hot key is written first, so that Spark can split the key's rows.
-    groups = durable(every.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    groups = durable(in_few_tasks(every.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), BANDS * classes.count()))
     members = durable(every.join(groups, "band"))
+    narrow = members.count()
 
     # Every class meets the busiest class of its band groups, which in a group of edited copies is nearest to all.
     busy = members.groupBy("node").agg(F.sum("n").alias("busy"))
-    hubs = durable(members.join(busy, "node").groupBy("band").agg(F.max(F.struct("busy", "node")).getField("node").alias("hub")))
+    hubs = durable(in_few_tasks(members.join(busy, "node").groupBy("band").agg(F.max(F.struct("busy", "node")).getField("node").alias("hub")), narrow))
     met = members.join(hubs, "band").where("node <> hub").select("node", "hub").distinct()
     sketched = _pruned(_with_sketches(met.select(F.col("node").alias("a"), F.col("hub").alias("b")), classes))
     first = Window.partitionBy("a").orderBy(F.desc("matches"), "b")
     chosen = sketched.withColumn("place", F.row_number().over(first)).where("place = 1")
-    tried = durable(chosen.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    tried = durable(in_few_tasks(chosen.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), narrow))
 
     wanted = members.select("node").distinct()
     texts = durable(rows.join(classes.select("key", "node").join(wanted, "node"), "key").groupBy("node").agg(F.first("text").alias("text")))
-    links = durable(_linked(tried, texts))
-    roots = components(links)
+    roots = components(durable(_linked(tried, texts)))
     # Pairs of different components within the band groups: the likeliest first, then all that are left.
     likely = _likely_pairs(_mixed_groups(members, roots, classes)).distinct()
-    batch = durable(likely.join(tried, ["a", "b"], "left_anti"))
+    batch = durable(in_few_tasks(likely.join(tried, ["a", "b"], "left_anti"), narrow))
     if not batch.isEmpty():
-        links = durable(links.unionByName(_linked(batch, texts)))
-        roots = components(links)
+        roots = components(_joined(roots, durable(_linked(batch, texts))))
     mixed = durable(_mixed_groups(members, roots, classes))
     if not mixed.isEmpty():
         last = durable(_joining_links(mixed, texts))
         if not last.isEmpty():
-            roots = components(links.unionByName(last))
+            roots = components(_joined(roots, last))
     rooted = classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("node", "root", "component_id")
     grouped = some.select("key", "doc_id", "n_shingles", "node").join(named, "node").drop("node")
@@ -401,10 +406,16 @@ def _rooted_duplicates(docs: DataFrame) -> DataFrame:
     return grouped.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(a, b): new links and, for those before them, what they have joined: an edge from each node to its root."""
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)
+
+
 def _mixed_groups(members: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     """band, node, root, size, sketch, bands and n of the band groups that hold more than one component."""
     rooted = durable(members.select("band", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    several = durable(rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band"))
+    several = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
+    several = durable(in_few_tasks(several, rooted.count()))
     return rooted.join(several, "band").join(classes.select("node", "size", "sketch", "bands"), "node")
 
 

@@ -189,6 +189,33 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert all(got[i] == 0 for i in range(301)) and all(got[1000 + i] == 1000 for i in range(51)) and len(got) == 352
 
 
+def test_rounds_over_a_small_graph_take_few_tasks(spark, monkeypatch):
+    """Many shuffle partitions do not make a task and a file each for a few edges."""
+    tasks = []
+    write = graph.durable
+    monkeypatch.setattr(graph, "durable", lambda df: tasks.append(df.rdd.getNumPartitions()) or write(df))
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long")
+        assert {r["root"] for r in graph.components(edges).collect()} == {0}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(tasks) > 3 and max(tasks[1:]) <= spark.sparkContext.defaultParallelism
+
+
+def test_new_links_join_what_is_joined(spark):
+    """Components of stars and new links are those of all links."""
+    old = [(2, 1), (3, 2), (9, 8), (7, 8), (20, 21)]
+    new = [(3, 7), (30, 31)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    got = sorted(map(tuple, graph.components(neardup._joined(graph.components(frame(old)), frame(new))).collect()))
+    assert got == sorted(map(tuple, graph.components(frame(old + new)).collect())) and dict(got)[9] == 1
+
+
 # -------------------------------------------------------------------- repeats
 
 
