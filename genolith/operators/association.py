@@ -76,28 +76,37 @@ def _all_present(columns: list[str]) -> Column:
     return ok
 
 
-def score_sums(entries: DataFrame, model: ScoreModel) -> DataFrame:
-    """Per variant: n_obs, mean, score, variance ``_v`` and covariate products ``zg``.
+def subject_sums(model: ScoreModel, cases: bool = False) -> DataFrame:
+    """What a call adds up per sample: rows, residual, weight and weighted covariates of its subject; with ``cases`` also case and control rows."""
+    w = F.col("weight")
+    by_outcome = [F.count_if(F.col("outcome") == 1).alias("case_rows"), F.count_if(F.col("outcome") == 0).alias("control_rows")]
+    return model.table.groupBy("sample_key").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("resid").alias("resid"), F.sum(w).alias("weight"), *[F.sum(w * F.col(z)).alias(z) for z in model.z],
+        *(by_outcome if cases else []))
 
-    One aggregate over the entries: partial sums per variant leave each task,
-    not genotypes. Missing calls take the variant's mean; the cohort totals
-    minus the called samples' sums give their part.
+
+def score_aggregates(model: ScoreModel) -> list[Column]:
+    """Sums per variant over calls next to their ``subject_sums``; missing calls and samples without a subject add nothing."""
+    g = F.col("gt").cast("double")
+    called = lambda name: F.when(F.col("gt").isNotNull(), F.col(name))
+    return [
+        F.coalesce(F.sum(called("n_rows")), F.lit(0)).alias("n_obs"), F.sum(g * F.col("n_rows")).alias("_g"), F.sum(g * F.col("resid")).alias("_gr"),
+        F.sum(called("resid")).alias("_r"), F.sum(g * g * F.col("weight")).alias("_wgg"), F.sum(called("weight")).alias("_w"),
+        *[F.sum(g * F.col(z)).alias(f"_g{z}") for z in model.z], *[F.sum(called(z)).alias(f"_{z}") for z in model.z]]
+
+
+def case_aggregates() -> list[Column]:
+    """Called cases and controls per variant, over calls next to ``subject_sums`` with cases."""
+    called = lambda name: F.coalesce(F.sum(F.when(F.col("gt").isNotNull(), F.col(name))), F.lit(0))
+    return [called("case_rows").alias("n_cases"), called("control_rows").alias("n_controls")]
+
+
+def scores(sums: DataFrame, model: ScoreModel, *more: str) -> DataFrame:
+    """Per variant: n_obs, mean, score, variance ``_v`` and covariate products ``zg`` of ``score_aggregates``.
+
+    Missing calls take the variant's mean; the cohort totals minus the called samples' sums give their part.
     """
-    subjects = broadcast_if_small(model.table.drop("outcome"))
-    g, w, rsd = F.col("gt").cast("double"), F.col("weight"), F.col("resid")
-    sums = (
-        entries.where(F.col("gt").isNotNull())
-        .select("variant_key", "sample_key", "gt")
-        .join(subjects, "sample_key")
-        .groupBy("variant_key")
-        .agg(
-            F.count(F.lit(1)).alias("n_obs"), F.sum(g).alias("_g"), F.sum(g * rsd).alias("_gr"), F.sum(rsd).alias("_r"),
-            F.sum(w * g * g).alias("_wgg"), F.sum(w).alias("_w"),
-            *[F.sum(w * g * F.col(z)).alias(f"_g{z}") for z in model.z],
-            *[F.sum(w * F.col(z)).alias(f"_{z}") for z in model.z],
-        )
-        .withColumn("mean", F.col("_g") / F.col("n_obs"))
-    )
+    sums = sums.where(F.col("n_obs") > 0).withColumn("mean", F.col("_g") / F.col("n_obs"))
     mean, t = F.col("mean"), model.totals
     products = {z: F.col(f"_g{z}") + mean * (F.lit(t[z]) - F.col(f"_{z}")) for z in model.z}
     variance = F.col("_wgg") + mean * mean * (F.lit(t["weight"]) - F.col("_w"))
@@ -106,23 +115,37 @@ def score_sums(entries: DataFrame, model: ScoreModel) -> DataFrame:
     return sums.select(
         "variant_key", "n_obs", "mean",
         (F.col("_gr") + mean * (F.lit(t["resid"]) - F.col("_r"))).alias("score"),
-        variance.alias("_v"), F.array(*products.values()).alias("zg"),
+        variance.alias("_v"), F.array(*products.values()).alias("zg"), *more,
     )
 
 
-def score_test(entries: DataFrame, model: ScoreModel) -> DataFrame:
-    """Score, variance, effect and p-value per variant, missing calls at the mean."""
+def score_sums(entries: DataFrame, model: ScoreModel) -> DataFrame:
+    """``scores`` of the entries.
+
+    One aggregate over the entries: partial sums per variant leave each task,
+    not genotypes.
+    """
+    called = entries.where(F.col("gt").isNotNull()).select("variant_key", "sample_key", "gt")
+    return scores(called.join(broadcast_if_small(subject_sums(model)), "sample_key").groupBy("variant_key").agg(*score_aggregates(model)), model)
+
+
+def tested(sums: DataFrame, *more: str) -> DataFrame:
+    """Score, variance, effect and p-value per variant of ``scores``."""
     # A site without variation leaves rounding noise only.
-    out = score_sums(entries, model).select(
-        "variant_key", "n_obs", (F.col("mean") / 2).alias("freq"), "score", F.when(F.col("_v") > 1e-9, F.col("_v")).alias("score_var"))
+    out = sums.select(
+        "variant_key", "n_obs", (F.col("mean") / 2).alias("freq"), "score", F.when(F.col("_v") > 1e-9, F.col("_v")).alias("score_var"), *more)
     out = out.withColumn("score_stat", F.col("score") / F.sqrt("score_var"))
-    return out.withColumns(
-        {
-            "score_pval": chi2_1_sf(F.col("score_stat") * F.col("score_stat")),
-            "est": F.col("score") / F.col("score_var"),
-            "est_se": F.lit(1.0) / F.sqrt("score_var"),
-        }
-    )
+    named = {
+        "score_pval": chi2_1_sf(F.col("score_stat") * F.col("score_stat")),
+        "est": F.col("score") / F.col("score_var"),
+        "est_se": F.lit(1.0) / F.sqrt("score_var"),
+    }
+    return out.withColumns(named).select(*[c for c in out.columns if c not in more], *named, *more)
+
+
+def score_test(entries: DataFrame, model: ScoreModel) -> DataFrame:
+    """Score, variance, effect and p-value per variant, missing calls at the mean."""
+    return tested(score_sums(entries, model))
 
 
 def case_control_counts(entries: DataFrame, subjects: DataFrame, outcome: str = "outcome") -> DataFrame:

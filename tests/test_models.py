@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import genotype_frames, random_genotypes
 from pyspark.sql import functions as F
@@ -210,3 +211,57 @@ def test_few_listed_keys_are_seen_before_rows_are_unfolded(spark, monkeypatch):
     assert "LeftSemi" in many._jdf.queryExecution().optimizedPlan().toString()
     for kept in (few, many):
         assert sorted((r["variant_key"], r["sample_key"]) for r in kept.collect()) == want
+
+
+@pytest.mark.parametrize("trait", ["trait", "sick"])
+def test_association_scan_reads_the_calls_twice(spark, trait):
+    from genolith.operators import association, models, qc
+    from genolith.operators.genotypes import GenotypeSet
+    from genolith.plans import gwas
+
+    rows = [(v, s, None if (v + s) % 29 == 0 else ((v * 7 + s * s) % 5 > 2) + ((v + s * 3) % 7 > 4), 50, 30 if s else 5) for v in range(12) for s in range(60)]
+    # Variant 0 has no variation; sample 0 fails; sample 1 has two subjects, sample 2 none.
+    rows = [(v, s, None if gt is None else int(gt) * (v > 0), gq, dp) for v, s, gt, gq, dp in rows]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    entries = spark.createDataFrame(rows, "variant_key bigint, sample_key bigint, gt int, gq int, dp int")
+    variants = spark.createDataFrame([(v, "chr1", 100 + v, "A", "G") for v in range(12)], "variant_key bigint, contig string, pos bigint, ref string, alt string")
+    samples = spark.createDataFrame([(s,) for s in range(60)], "sample_key bigint")
+    subjects = spark.createDataFrame([(s, float((s * 37) % 41), float((s * 11) % 5 > 2), float(s % 2)) for s in [*range(60), 1] if s != 2],
+                                     "sample_key bigint, trait double, sick double, sex double")
+    counted = GenotypeSet(variants, samples, entries.repartition(3).mapInPandas(seen, entries.schema))
+    got = {r["variant_key"]: r for r in gwas.association_scan(counted, subjects, trait, ["sex"]).collect()}
+    assert read.value == 2 * len(rows)
+
+    clean = gwas.quality_controlled(GenotypeSet(variants, samples, entries))
+    data = subjects.where("sample_key <> 0")
+    model = models.fit_models(data, trait, {"null": ["sex"]})[0]
+    want = association.gwas(clean.entries, clean.variants, association.score_model(data, trait, model)).collect()
+    assert want and set(got) == {r["variant_key"] for r in want}
+    for r in want:
+        for name, value in r.asDict().items():
+            found = got[r["variant_key"]][name]
+            assert found == (pytest.approx(value, rel=1e-9, abs=1e-12) if isinstance(value, float) else value), name
+
+
+def test_equilibrium_test_looks_at_few_heterozygote_counts():
+    import tracemalloc
+
+    from genolith.operators import qc
+
+    n, af = 400_000, 0.3
+    het = np.full(50, int(2 * n * af * (1 - af))) + np.arange(50)
+    alt = (2 * n * af - het).astype(int) // 2
+    counts = [pd.Series(x) for x in (n - het - alt, het, alt)]
+    tracemalloc.start()
+    p = qc._hwe_batch(*counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < p.min() < p.max() < 1
+    # The table of factorials is as long as the cohort; all counts of these variants side by side would be 50 times 120,000.
+    assert peak < 8 * 8 * 2 * n
