@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from genolith.operators.genotypes import strip_version
 from genolith.operators.ranking import exact_quantile
 from genolith.operators.samples import distinct_by
-from genolith.session import broadcast_if_small
+from genolith.session import broadcast_if_small, durable, in_more_tasks
 
 # Consequence terms from most to least severe.
 CODING_HIGH = [
@@ -133,18 +133,17 @@ def pivot_tissues(long: DataFrame, keys: list[str], value: str) -> DataFrame:
 GROUP = ["variant_key", "csq", "ensg", "symbol", "lof", "lof_flag"]
 
 
-def variant_expression(transcripts: DataFrame, summary: DataFrame) -> DataFrame:
+def variant_expression(transcripts: DataFrame, summary: DataFrame, rows: int = 0) -> DataFrame:
     """Expression summed over the transcripts with the same gene and consequence.
 
     Long form, one row per tissue; a group without any expressed transcript
-    keeps one row with a NULL tissue.
+    keeps one row with a NULL tissue. ``rows``: about how many transcripts and tissues there are, if known.
     """
     named = transcripts.select(
         "variant_key", "transcript_id", F.col("most_severe_consequence").alias("csq"), F.col("gene_id").alias("ensg"),
         F.col("gene_symbol").alias("symbol"), "lof", F.col("lof_flags").alias("lof_flag"))
     joined = named.join(broadcast_if_small(summary.select("transcript_id", "tissue", "expression")), "transcript_id", "left")
-    sums = joined.groupBy(*GROUP, "tissue").agg(F.sum("expression").alias("expression"))
-    return sums
+    return in_more_tasks(joined, rows, "variant_key").groupBy(*GROUP, "tissue").agg(F.sum("expression").alias("expression"))
 
 
 def with_gene_expression(sums: DataFrame, genes: DataFrame, how: str = "inner") -> DataFrame:
@@ -189,7 +188,8 @@ def annotate_pext(variants: DataFrame, summary: DataFrame, terms: list[str] = AL
     if drop_tissues:
         summary = summary.where(~F.col("tissue").isin(drop_tissues))
         totals = totals.where(~F.col("tissue").isin(drop_tissues))
-    sums = variant_expression(hit, summary)
+    hit = durable(hit.select("variant_key", "transcript_id", "most_severe_consequence", "gene_id", "gene_symbol", "lof", "lof_flags"))
+    sums = variant_expression(hit, summary, hit.count() * summary.select("tissue").distinct().count())
     if kind == "proportion":
         rows = expression_proportion(sums, totals)
     else:

@@ -115,3 +115,18 @@ def test_one_hot_and_multi_batch(spark):
     df = spark.createDataFrame([(1, "A+B"), (2, "B"), (3, None)], "k int, f string")
     out = {r["k"]: (r["f_A"], r["f_B"]) for r in cl.one_hot(df, "k", "f", "f_", "+").collect()}
     assert out == {1: (1, 1), 2: (0, 1)}
+
+
+def test_many_small_groups_are_spread_by_their_rows(spark, monkeypatch):
+    from functools import partial
+
+    from genolith import session
+
+    monkeypatch.setattr(ranking, "in_more_tasks", partial(session.in_more_tasks, each=150))
+    df = spark.range(3000).selectExpr("concat('group', id % 1000) AS g", "id * 7 % 3000 AS x")
+    counts = ranking.cumulative_counts(df, "x", ["g"])
+    tasks = counts.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    # Two or three values a group; before, the rows went to as many tasks as there are cores at most.
+    assert sum(r["n"] for r in tasks) == 3000 and max(r["n"] for r in tasks) <= 450
+    got = {r["g"]: r["m"] for r in ranking.exact_quantile(df, "x", 0.5, ["g"], "m").collect()}
+    assert got == {f"group{i}": sorted((i + 1000 * k) * 7 % 3000 for k in range(3))[1] for i in range(1000)}
