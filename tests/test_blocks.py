@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from genolith.operators import blocks
@@ -39,3 +40,38 @@ def test_a_variant_split_over_batches_is_whole(spark, monkeypatch):
         one = entries.coalesce(1).sortWithinPartitions(order).withColumn("vb", F.lit(0))
         row, = blocks.genotype_tiles(one, tiles, 50).collect()
         assert (blocks.calls(row["mat"], 50) == np.arange(500).reshape(10, 50) % 3).all()
+
+
+def test_words_hold_the_calls_of_packed_calls(spark):
+    """Tiles of several words, none of them full; absent, missing, scattered and few calls; more words than are packed at once."""
+    rng = np.random.default_rng(7)
+    rows = [(v, s, [None, 0, 1, 2][rng.integers(4)]) for v in range(30) for s in range(333) if v % 5 or s % 90 == 3]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    entries = spark.createDataFrame(rows + [(None, 3, 1), (4, 999, 1)], "variant_key bigint, sample_key bigint, gt int").repartition(3)
+    tiles, _ = blocks.sample_tiles(spark.range(333).withColumnRenamed("id", "sample_key"), 150)
+
+    def codes(packed):
+        found = {}
+        for row in packed.collect():
+            tile = found.setdefault((row["variant_key"], row["t"]), np.zeros(150, np.uint8))
+            blocks.put_codes(tile, row["listed"], row["packed"])
+        return {(v, t * 150 + i): int(c) for (v, t), tile in found.items() for i, c in enumerate(tile) if c}
+
+    want = {(v, s): 1 if g is None else g + 2 for v, s, g in rows}
+    assert codes(blocks.unique_calls(entries, tiles, 150)) == codes(blocks.packed_calls(entries, tiles, 150)) == want
+
+
+def test_only_words_go_to_python(spark, genotypes):
+    _, _, people, entries = genotypes
+    tiles, _ = blocks.sample_tiles(people, 16)
+    plan = blocks.unique_calls(entries, tiles, 16)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Aggregate")
+
+
+def test_repeated_calls_are_found_and_refused(spark):
+    tiles, _ = blocks.sample_tiles(spark.range(100).withColumnRenamed("id", "sample_key"), 100)
+    once = spark.range(300).selectExpr("id div 100 AS variant_key", "id % 100 AS sample_key", "cast(id % 3 AS INT) AS gt")
+    twice = once.unionByName(spark.createDataFrame([(1, 70, None)], once.schema))
+    assert not blocks.has_repeated_calls(once, tiles) and blocks.has_repeated_calls(twice, tiles)
+    with pytest.raises(Exception, match="several calls of one variant"):
+        blocks.unique_calls(twice, tiles, 100).collect()
