@@ -81,7 +81,7 @@ def _with_kinship(g: GenotypeSet, data: DataFrame, outcome: str, covariates: lis
     held: list[mixed.Relationship] = []
 
     def relationship(keys):
-        held.append(mixed.Relationship.of(g.entries, keys))
+        held.append(mixed.Relationship.of(g.entries, keys, g.variants.count()))
         return held[-1]
 
     subsets = [row["covariates"] for row in models.covariate_combinations(data.sparkSession, list(search)).orderBy("model_index").collect()] if search else [[]]

@@ -75,3 +75,15 @@ def test_repeated_calls_are_found_and_refused(spark):
     assert not blocks.has_repeated_calls(once, tiles) and blocks.has_repeated_calls(twice, tiles)
     with pytest.raises(Exception, match="several calls of one variant"):
         blocks.unique_calls(twice, tiles, 100).collect()
+
+
+def test_tiles_are_built_from_words(spark, genotypes):
+    _, _, people, entries = genotypes
+    tiles, _ = blocks.sample_tiles(people, 16)
+    found = blocks.genotype_tiles(entries, tiles, 16, blocks.hashed_block(60, 20))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Aggregate")
+    plain = blocks.genotype_tiles(entries.withColumn("vb", blocks.hashed_block(60, 20)), tiles, 16)
+    listed = blocks.genotype_tiles(entries, tiles, 16, entries.select("variant_key", blocks.hashed_block(60, 20).alias("vb")).distinct())
+    held = [sorted((r["vb"], r["t"], tuple(r["keys"]), bytes(r["mat"])) for r in x.collect()) for x in (found, plain, listed)]
+    assert held[0] == held[1] == held[2]
