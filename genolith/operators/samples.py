@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from genolith.operators.genotypes import GenotypeSet
 from genolith.operators.qc import filter_polymorphic
+from genolith.session import broadcast_if_small, durable
 
 
 def subset_samples(g: GenotypeSet, sample_list: DataFrame) -> GenotypeSet:
@@ -56,12 +57,13 @@ def impute_sex(entries: DataFrame, stats: DataFrame, female_threshold=0.5, male_
     Expected homozygosity of a site is 1 - 2p(1-p) with p the cohort's allele
     frequency; monomorphic sites carry no information and are left out.
     """
-    freq = stats.where((F.col("af") > 0) & (F.col("af") < 1)).select(
+    # Written, so that counting and sending them reads the calls once; joined by size, so that the calls need no sort.
+    freq = durable(stats.where((F.col("af") > 0) & (F.col("af") < 1)).select(
         "variant_key", (1 - 2 * F.col("af") * (1 - F.col("af"))).alias("e_hom")
-    )
+    ))
     sums = (
         entries.where(F.col("gt").isNotNull())
-        .join(freq, "variant_key")
+        .join(broadcast_if_small(freq), "variant_key")
         .groupBy("sample_key")
         .agg(
             F.count(F.lit(1)).alias("n_called"),

@@ -135,3 +135,15 @@ def test_calls_out_of_range_are_refused(spark):
     bad = spark.createDataFrame([(1, 1, 3)], "variant_key bigint, sample_key bigint, gt int")
     with pytest.raises(Exception, match="0, 1, 2 or null"):
         callsets.paired_states(bad, bad).collect()
+
+
+def test_sex_check_does_not_sort_the_calls(spark, genotypes):
+    """The planner takes frequencies over unfolded calls for large; they are small, so the calls are joined where they are."""
+    _, _, _, entries = genotypes
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = samples.impute_sex(entries, qc.call_stats(entries))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
